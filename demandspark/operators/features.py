@@ -7,7 +7,7 @@ is described only by what was known at the cutoff.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import calendar_columns, holiday_code
@@ -19,13 +19,18 @@ RATIO_FEATURES = ("level_yoy_growth", f"ly_ratio_{SEASON_LAG - 7}", f"ly_ratio_{
                   f"ly_ratio_{SEASON_LAG + 7}", "ly_week_ratio")
 FEATURES = (*CALENDAR_FEATURES, "us_holiday", *RATIO_FEATURES)
 
-_series = Window.partitionBy(SERIES)
-_by_day = Window.partitionBy(SERIES).orderBy("ds")
+
+def by_series() -> WindowSpec:
+    return Window.partitionBy(SERIES)
+
+
+def by_day() -> WindowSpec:
+    return Window.partitionBy(SERIES).orderBy("ds")
 
 
 def with_cutoff(df: DataFrame, horizon: int = HOLDOUT_DAYS) -> DataFrame:
     """Last training day of each series: ``horizon`` days before its last day."""
-    return df.withColumn("cutoff", F.date_sub(F.max("ds").over(_series), horizon))
+    return df.withColumn("cutoff", F.date_sub(F.max("ds").over(by_series()), horizon))
 
 
 def time_split(df: DataFrame, horizon: int = HOLDOUT_DAYS) -> DataFrame:
@@ -44,7 +49,7 @@ def with_holidays(df: DataFrame) -> DataFrame:
 
 def full_mean(value: str, lag: int, width: int) -> Column:
     """Mean of ``width`` rows ending ``lag`` rows earlier, null until all of them exist."""
-    frame = _by_day.rowsBetween(-(lag + width - 1), -lag)
+    frame = by_day().rowsBetween(-(lag + width - 1), -lag)
     return F.when(F.count(value).over(frame) == width, F.avg(value).over(frame))
 
 
@@ -64,7 +69,7 @@ def lag_features(df: DataFrame) -> DataFrame:
     ratio. All windows share one exchange and one sort."""
     lags = (SEASON_LAG - 7, SEASON_LAG, SEASON_LAG + 7)
     windows = lagged_level(df).withColumns(
-        {f"_lag_{n}": F.lag("y", n).over(_by_day) for n in lags} | {"_week": full_mean("y", SEASON_LAG - 3, 7)})
+        {f"_lag_{n}": F.lag("y", n).over(by_day()) for n in lags} | {"_week": full_mean("y", SEASON_LAG - 3, 7)})
     base = F.col("level_last_year")
 
     def ratio(value: str, to: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import HOLDOUT_DAYS, HORIZONS, SEASON_LAG
-from .features import _series, shift_days, time_split
+from .features import by_series, shift_days, time_split
 from .rollups import SERIES
 
 
@@ -36,9 +36,9 @@ def seasonal_naive(df: DataFrame, horizon: int = HOLDOUT_DAYS) -> DataFrame:
     recent, earlier = age.between(0, SEASON_LAG - 1), age.between(SEASON_LAG, 2 * SEASON_LAG - 1)
 
     def total(condition: Column) -> Column:
-        return F.sum(F.when(condition, F.col("y"))).over(_series)
+        return F.sum(F.when(condition, F.col("y"))).over(by_series())
 
-    full = F.count(F.when(recent | earlier, 1)).over(_series) == 2 * SEASON_LAG
+    full = F.count(F.when(recent | earlier, 1)).over(by_series()) == 2 * SEASON_LAG
     split = shift_days(time_split(df, horizon)).withColumn(
         "growth", F.when(full, F.try_divide(total(recent).cast("double"), total(earlier).cast("double"))))
     return split.filter("is_holdout").select(

@@ -1,118 +1,52 @@
-"""Trend-and-season model: one small ridge fit per series, with multiplicative components.
+"""Trend-and-season model: one small fit per series, tuned by rolling origins.
 
-The logarithm of 1 + y is regressed on a bent trend, weekly, yearly and monthly cycles and the
-public holidays. The regressors are Spark columns; Python only solves the normal equations of
-one series at a time, so Spark spreads series (and origins) over the cluster. A series has at
-most one row per calendar day and must fit one task. This is a Gaussian relative of the
-additive-model family with Laplace trend priors, not a re-implementation of one.
+Spark spreads series (and origins) over the cluster; Python only solves the normal equations of
+one series at a time. A series has at most one row per calendar day, so it fits one task. The
+model is a Gaussian relative of additive models with Laplace trend priors, not a copy of one.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import holiday_code, mape
-from ..functions.dates import HOLIDAY_NAMES
-from ..schemas import (CV_INITIAL_DAYS, CV_PERIOD_DAYS, FLEXIBILITY_GRID, HOLDOUT_DAYS)
+from ..schemas import CV_INITIAL_DAYS, CV_PERIOD_DAYS, FLEXIBILITY_GRID, HOLDOUT_DAYS
+from . import ridge
 from .features import future_frame, rolling_origins, time_split, with_cutoff
 from .naive import horizon_bucket
 from .rollups import SERIES
 
-# (period in days, number of sine/cosine pairs): weekly, yearly, monthly (fixed values).
-CYCLES = ((7.0, 3), (365.25, 10), (30.5, 5))
-CHANGEPOINTS = 25
-CHANGEPOINT_RANGE = 0.8   # bends lie in the first 80 % of the training span
-NOISE = 0.1               # scale of log residuals, sets the weight of the priors
-SEASON_SCALE = 10.0
-INTERVAL = (0.1, 0.9)     # residual quantiles of the prediction interval
-
-
-def season_columns(ds: Column) -> Column:
-    """Cycle and holiday regressors of a day as one array."""
-    day = F.unix_date(ds).cast("double")
-    waves = []
-    for period, pairs in CYCLES:
-        for k in range(1, pairs + 1):
-            angle = day * (2 * math.pi * k / period)
-            waves += [F.sin(angle), F.cos(angle)]
-    code = holiday_code(ds)
-    holidays = [(code == i + 1).cast("double") for i in range(len(HOLIDAY_NAMES))]
-    return F.array(*waves, *holidays)
-
-
-def _design(days: np.ndarray, season: np.ndarray, first: float, cutoff: float) -> np.ndarray:
-    """Intercept, slope and bends of the trend, then the season columns."""
-    t = (days - first) / max(cutoff - first, 1.0)
-    bends = np.linspace(0, CHANGEPOINT_RANGE, CHANGEPOINTS + 1)[1:]
-    hinges = np.maximum(t[:, None] - bends[None, :], 0.0)
-    return np.hstack([np.ones((len(t), 1)), t[:, None], hinges, season])
-
-
-def _fit_predict(pdf: pd.DataFrame, grid: Sequence[float]) -> list[tuple[float, np.ndarray, np.ndarray]]:
-    """Fit on the training rows for each flexibility; returns (flexibility, log prediction of every
-    row, quantiles of the training residuals)."""
-    train = pdf["is_train"].to_numpy()
-    days = pdf["day"].to_numpy(dtype=float)
-    x = _design(days, np.vstack(pdf["season"].to_numpy()), days[train].min(), days[train].max())
-    target = np.log1p(pdf["y"].to_numpy(dtype=float)[train])
-    gram, moment = x[train].T @ x[train], x[train].T @ target
-    penalty = np.full(x.shape[1], (NOISE / SEASON_SCALE) ** 2)
-    fits = []
-    for flexibility in grid:
-        penalty[2:2 + CHANGEPOINTS] = (NOISE / flexibility) ** 2
-        beta = np.linalg.solve(gram + np.diag(penalty), moment)
-        log_hat = x @ beta
-        residual = np.quantile(target - log_hat[train], INTERVAL)
-        fits.append((flexibility, log_hat, residual))
-    return fits
-
-
-def _units(log_values: np.ndarray) -> np.ndarray:
-    return np.maximum(np.expm1(np.clip(log_values, None, 50.0)), 0.0)
-
+# Ship the fit with the tasks, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(ridge)
 
 _KEYS = [SERIES, "cutoff"]
 _SCHEMA = f"{SERIES} string, cutoff date, ds date, y double, flexibility double, yhat double, " \
           "yhat_lower double, yhat_upper double"
 
 
-def _predict(pdf: pd.DataFrame, grid: Sequence[float]) -> pd.DataFrame:
-    pdf = pdf.sort_values("ds", ignore_index=True)
-    test = ~pdf["is_train"]
-    frames = []
-    for flexibility, log_hat, (low, high) in _fit_predict(pdf, grid):
-        frame = pdf.loc[test, [SERIES, "cutoff", "ds", "y"]].copy()
-        hat = log_hat[test.to_numpy()]
-        frame["flexibility"] = flexibility
-        frame["yhat"], frame["yhat_lower"], frame["yhat_upper"] = _units(hat), _units(hat + low), _units(hat + high)
-        frames.append(frame)
-    return pd.concat(frames, ignore_index=True)
-
-
 def _prepared(df: DataFrame) -> DataFrame:
     return df.select(SERIES, "cutoff", "ds", F.col("y").cast("double").alias("y"), "is_train",
-                     F.unix_date("ds").alias("day"), season_columns(F.col("ds")).alias("season"))
+                     F.unix_date("ds").alias("day"), holiday_code(F.col("ds")).alias("us_holiday"))
 
 
 def fit_and_predict(df: DataFrame, grid: Sequence[float]) -> DataFrame:
     """Predictions for the rows with ``is_train`` false, per series, cutoff and flexibility."""
-    grid = tuple(grid)
-    return _prepared(df).groupBy(*_KEYS).applyInPandas(lambda pdf: _predict(pdf, grid), _SCHEMA)
+    predict, values, keys = ridge.predict, [float(g) for g in grid], _KEYS
+    return _prepared(df).groupBy(*keys).applyInPandas(lambda pdf: predict(pdf, values, keys), _SCHEMA)
 
 
 def _fit_chosen(df: DataFrame, chosen: DataFrame | None, flexibility: float) -> DataFrame:
     """Fit with one flexibility for all series, or with the one ``chosen`` has for each."""
     if chosen is None:
         return fit_and_predict(df, [flexibility])
+    predict, keys = ridge.predict, _KEYS
     picked = _prepared(df).join(chosen.select(SERIES, "flexibility"), SERIES)
-    return picked.groupBy(*_KEYS).applyInPandas(
-        lambda pdf: _predict(pdf, [float(pdf["flexibility"].iloc[0])]), _SCHEMA)
+    return picked.groupBy(*keys).applyInPandas(
+        lambda pdf: predict(pdf, [float(pdf["flexibility"].iloc[0])], keys), _SCHEMA)
 
 
 def trend_season(df: DataFrame, flexibility: float = 0.05, chosen: DataFrame | None = None,
@@ -140,7 +74,8 @@ def rolling_cv(df: DataFrame, grid: Sequence[float] = FLEXIBILITY_GRID, initial:
 def best_param(cv: DataFrame, grid: Sequence[float] = FLEXIBILITY_GRID) -> DataFrame:
     """Flexibility with the lowest error per series (the smaller on a tie), and the error of each
     grid value as a column."""
-    best = cv.filter(F.col("cv_mape").isNotNull()).groupBy(SERIES).agg(F.min_by("flexibility", F.struct("cv_mape", "flexibility")).alias("flexibility"))
+    best = cv.filter(F.col("cv_mape").isNotNull()).groupBy(SERIES).agg(
+        F.min_by("flexibility", F.struct("cv_mape", "flexibility")).alias("flexibility"))
     wide = cv.groupBy(SERIES).pivot("flexibility", list(grid)).agg(F.round(F.first("cv_mape"), 3))
     renamed = wide.select(SERIES, *[F.col(f"`{g}`").alias(f"cv_mape_{str(g).replace('.', '_')}") for g in grid])
     return best.join(renamed, SERIES)
