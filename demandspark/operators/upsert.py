@@ -43,47 +43,59 @@ def _newer(order: Sequence[str]) -> Column:
     return F.col("_old").isNotNull() & F.col("_new").isNotNull() & (new > old)
 
 
+def _upserted(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The upserted table with what happened to each row (``_change``)."""
+    change = F.when(F.col("_old").isNull(), "inserted").when(F.col("_new").isNull(), "kept") \
+        .when(_newer(order), "updated").otherwise("unchanged")
+    joined = _matched(target, updates, keys, order).withColumn("_change", change)
+    row = F.when(F.col("_change").isin("inserted", "updated"), F.col("_new")).otherwise(F.col("_old"))
+    return joined.withColumn("_row", row).select(
+        *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in target.columns], "_change")
+
+
+def _counts(changes: DataFrame) -> DataFrame:
+    def number(*kinds: str) -> Column:
+        return F.count_if(F.col("_change").isin(*kinds))
+
+    return changes.agg(number("inserted", "updated", "unchanged").alias("source_rows"),
+                       number("inserted").alias("inserted"), number("updated").alias("updated"),
+                       number("unchanged").alias("unchanged"))
+
+
 def upsert_newer(target: DataFrame, updates: DataFrame, keys: Sequence[str] = EVENT_KEY,
                  order: Sequence[str] = RECENCY) -> DataFrame:
     """The target after an upsert: new keys inserted, a key updated only by a strictly newer row,
     everything else unchanged, nothing deleted. ``target`` has one row per key."""
-    take_new = F.col("_old").isNull() | _newer(order)
-    row = F.when(take_new, F.col("_new")).otherwise(F.col("_old"))
-    joined = _matched(target, updates, keys, order).withColumn("_row", row)
-    return joined.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in target.columns])
+    return _upserted(target, updates, keys, order).drop("_change")
 
 
 def upsert_metrics(target: DataFrame, updates: DataFrame, keys: Sequence[str] = EVENT_KEY,
                    order: Sequence[str] = RECENCY) -> DataFrame:
     """One row: what ``upsert_newer`` would do. All zero changes means the batch is a replay."""
     slim = list(dict.fromkeys([*keys, *order]))
-    joined = _matched(target.select(*slim), updates.select(*slim), keys, order)
-    return joined.agg(
-        F.count("_new").alias("source_rows"),
-        F.count_if(F.col("_old").isNull()).alias("inserted"),
-        F.count_if(_newer(order)).alias("updated"),
-        F.count_if(F.col("_old").isNotNull() & F.col("_new").isNotNull() & ~_newer(order)).alias("unchanged"))
+    return _counts(_upserted(target.select(*slim), updates.select(*slim), keys, order))
 
 
 def merge_into(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str] = EVENT_KEY,
                order: Sequence[str] = RECENCY, date: str = "event_date") -> dict[str, int]:
     """Upsert a batch into a table partitioned by month; only months of the batch are read and
     rewritten. Returns the metrics of the merge; a replayed batch changes and writes nothing.
+
+    The result is complete in the shared folder before any partition is replaced, and running
+    an interrupted merge again gives the same table.
     """
     batch = materialize(dedupe_latest(updates, keys, order).withColumn(MONTH, F.trunc(date, "MM")), "batch")
-    if not table_exists(spark, path):
-        inserted = batch.count()
-        if inserted:
-            replace_partitions(batch, path, [MONTH])
-        return {"source_rows": inserted, "inserted": inserted, "updated": 0, "unchanged": 0}
     # At most one value per calendar month of the data.
     months = [r[0] for r in batch.select(MONTH).distinct().collect()]
-    touched = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).select(*batch.columns)
-    metrics = upsert_metrics(touched, batch, keys, order).first().asDict()
+    if table_exists(spark, path):
+        touched = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).select(*batch.columns)
+    else:
+        touched = batch.limit(0)
+    merged = materialize(_upserted(touched, batch, keys, order), "merged")
+    metrics = _counts(merged).first().asDict()
+    changed = merged.filter(F.col("_change").isin("inserted", "updated")).select(MONTH).distinct()
     if metrics["inserted"] or metrics["updated"]:
-        # The result is complete in the shared folder before any partition is replaced.
-        merged = materialize(upsert_newer(touched, batch, keys, order), "merged")
-        replace_partitions(merged, path, [MONTH])
+        replace_partitions(merged.drop("_change").join(changed, MONTH, "left_semi"), path, [MONTH])
     return metrics
 
 

@@ -45,13 +45,18 @@ def _latest(spark, d) -> DataFrame:
     return dedupe.dedupe_latest(sales_events(spark, d))
 
 
+def _latest_totals(spark, d) -> DataFrame:
+    """Deduplicated events with only the columns daily totals need."""
+    return dedupe.dedupe_latest(sales_events(spark, d), columns=[*EVENT_KEY, "units_sold", "revenue"])
+
+
 def _batches(spark, d) -> DataFrame:
     """Events with their batch: the year they arrived."""
     return sales_events(spark, d).withColumn("batch_seq", F.year("ingested_at"))
 
 
 def _series(spark, d) -> DataFrame:
-    return stages.daily_series(_latest(spark, d))
+    return stages.daily_series(_latest_totals(spark, d))
 
 
 def _stored_series(spark, d) -> DataFrame:
@@ -60,11 +65,11 @@ def _stored_series(spark, d) -> DataFrame:
 
 
 def _daily(spark, d) -> DataFrame:
-    return rollups.daily_totals(_latest(spark, d))
+    return rollups.daily_totals(_latest_totals(spark, d))
 
 
 def _rollups(spark, d) -> DataFrame:
-    return rollups.rollups(_latest(spark, d))
+    return rollups.rollups(_latest_totals(spark, d))
 
 
 def _mart(spark, d) -> DataFrame:

@@ -21,11 +21,10 @@ from ..operators.rollups import daily_totals, rollups
 from ..operators.tree import direct_tree
 from ..operators.trend import best_param, forecast_forward, rolling_cv, trend_season
 from ..operators.upsert import merge_into, new_rows
-from ..schemas import EVENTS
+from ..schemas import EVENT_KEY, EVENTS
 from ..session import materialize
 from ..sources.lake import (append_batch, rebuild_partitioned, record_batch, replace_model_partition, table_exists)
 
-# Money columns grow in neither schema nor type between layers; silver is the typed event.
 SILVER_COLUMNS = tuple(EVENTS.names)
 
 
@@ -40,8 +39,9 @@ def staging_events(raw: DataFrame) -> DataFrame:
 
 
 def rollup_job(raw: DataFrame) -> DataFrame:
-    """Daily rollups straight from raw events."""
-    return rollups(staging_events(raw))
+    """Daily rollups straight from raw events; only the summed columns pass the deduplication."""
+    events = clean(type_events(raw), "staging")
+    return rollups(dedupe_latest(events, columns=[*EVENT_KEY, "units_sold", "revenue"]))
 
 
 def mart_job(raw: DataFrame) -> DataFrame:
@@ -58,7 +58,6 @@ def daily_series(events: DataFrame) -> DataFrame:
 
 
 class LakeRun(NamedTuple):
-    raw_rows: int
     appended: int
     silver: dict[str, int]
     gold: str
@@ -69,18 +68,20 @@ def build_lake(spark: SparkSession, raw: DataFrame, root: str, batch_id: str) ->
     rebuild gold into a new snapshot, and record all three in the audit.
 
     Silver reads only the new batch, not the whole of bronze, so a run costs what the batch
-    and the months it touches cost. Running the same input again changes nothing.
+    and the months it touches cost. The same input under a new batch id changes nothing; an
+    interrupted run is completed by running it again under its own batch id.
     """
     bronze, silver, gold, audit = (f"{root}/{t}" for t in ("bronze", "silver", "gold", "audit"))
-    raw = materialize(require_rows(raw, "raw events"), "raw")
-    fresh = new_rows(raw, spark.read.parquet(bronze)) if table_exists(spark, bronze) else raw
-    fresh = materialize(fresh.select(*raw.columns), "fresh")
-    raw_rows, appended = raw.count(), fresh.count()
+    fresh = require_rows(raw, "raw events")
+    if table_exists(spark, bronze):
+        fresh = new_rows(raw, spark.read.parquet(bronze).filter(F.col("_batch_id") != batch_id))
+    append_batch(fresh.select(*raw.columns, F.current_timestamp().alias("_loaded_at")), bronze, batch_id)
+    batch = spark.read.schema(raw.schema).parquet(f"{bronze}/_batch_id={batch_id}")
+    appended = batch.count()
     if appended:
-        append_batch(fresh.withColumn("_loaded_at", F.current_timestamp()), bronze, batch_id)
-        record_batch(spark, audit, "bronze", batch_id, "APPEND", bronze, raw_rows, appended)
+        record_batch(spark, audit, "bronze", batch_id, "APPEND", bronze, appended, appended)
 
-    updates = clean(type_events(fresh), "silver").select(*SILVER_COLUMNS)
+    updates = clean(type_events(batch), "silver").select(*SILVER_COLUMNS)
     metrics = merge_into(spark, silver, assert_constraints(updates, EVENTS))
     if metrics["inserted"] or metrics["updated"]:
         record_batch(spark, audit, "silver", batch_id, "MERGE", silver, **metrics)
@@ -88,7 +89,7 @@ def build_lake(spark: SparkSession, raw: DataFrame, root: str, batch_id: str) ->
     rolled = rollups(spark.read.parquet(silver)).withColumn("event_year", F.year("event_date"))
     target = rebuild_partitioned(rolled, gold, ["product_category"], batch_id)
     record_batch(spark, audit, "gold", batch_id, "OVERWRITE", target)
-    return LakeRun(raw_rows, appended, metrics, target)
+    return LakeRun(appended, metrics, target)
 
 
 class Forecasts(NamedTuple):

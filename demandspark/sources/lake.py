@@ -24,10 +24,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def append_batch(df: DataFrame, path: str, batch_id: str, partition_by: Sequence[str] = ()) -> None:
-    """Add one batch under its own ``_batch_id`` folder; writing the same batch again replaces it."""
-    writer = df.drop("_batch_id").write.mode("overwrite").option("partitionOverwriteMode", "static")
+    """Add one batch under its own ``_batch_id`` folder; writing the same batch again replaces it.
+
+    Rows are grouped by ``partition_by`` first, so that a task does not write a small file into
+    every partition.
+    """
+    rows = df.drop("_batch_id")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by)
     writer.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{path}/_batch_id={batch_id}")
 
 
@@ -118,7 +123,7 @@ def table_detail(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
     per_file = files.groupBy("file").agg(F.first("bytes").alias("bytes"), F.count("*").alias("rows"))
     folder = F.regexp_extract("file", "((?:/[^/=]+=[^/]*)*)/[^/]+$", 1)
-    return per_file.groupBy(F.ltrim(F.lit("/"), folder).alias("partition")).agg(
+    return per_file.groupBy(F.ltrim(folder, F.lit("/")).alias("partition")).agg(
         F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
 
 

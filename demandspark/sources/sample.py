@@ -6,8 +6,9 @@ part type as category and the supplier's region as store region.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ..schemas import MONEY, PRICE
 
@@ -32,21 +33,26 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")))
 
 
+def _hundredths(column: str) -> Column:
+    return F.floor(F.col(column) * 100 + 0.5)
+
+
+def _money(cents: Column, as_type: DecimalType) -> Column:
+    return (cents.cast(f"decimal({as_type.precision},0)") * F.lit("0.01").cast("decimal(2,2)")).cast(as_type)
+
+
 def _columns() -> dict:
-    # Revenue and price use exact integer and decimal arithmetic, so that results do not depend
-    # on the engine.
-    price = F.col("l_extendedprice").cast(MONEY)
-    units = F.col("l_quantity").cast("bigint")
-    half_up_cents = F.expr("(2 * cast(round(l_extendedprice * 100) as bigint) + cast(l_quantity as bigint))"
-                           " div (2 * cast(l_quantity as bigint))")
+    # Money is computed in whole cents and rounded half up, so that results are exact and do not
+    # depend on the engine.
+    cents, percent, units = _hundredths("l_extendedprice"), _hundredths("l_discount"), F.col("l_quantity").cast("bigint")
     return {
         "id": ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")).cast("bigint"),
         "event_date": F.col("l_shipdate").cast("date"),
         "product_category": F.col("p_type"),
         "store_region": F.col("r_name"),
         "units_sold": units.cast("int"),
-        "revenue": (price * (1 - F.col("l_discount").cast("decimal(4,2)"))).cast(MONEY),
-        "avg_unit_price": (half_up_cents.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast(PRICE),
+        "revenue": _money(F.floor((cents * (100 - percent) + 50) / 100), MONEY),
+        "avg_unit_price": _money(F.floor((2 * cents + units) / (2 * units)), PRICE),
         "promotion_flag": F.col("l_discount") >= 0.05,
         "ingested_at": F.col("o_orderdate"),
     }
