@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import EVENT_KEY, PRICE_RANGE, REVENUE_RANGE, UNITS_RANGE
+from ..session import materialize
 from .marts import series_span
 from .scalars import value_of
 
@@ -133,8 +134,14 @@ def assert_constraints(df: DataFrame, schema: StructType, not_null_columns: Sequ
 
 
 def missing_from(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``a`` whose key is not in ``b``."""
-    return a.join(b.select(*keys).distinct(), list(keys), "left_anti")
+    """Rows of ``a`` whose key is not in ``b``.
+
+    The keys of ``b`` are made distinct and stored first: no key is hot on that side, and both
+    inputs of the join are plain shuffles, so AQE can split a key that is hot in ``a`` (it does
+    not when an aggregate sits between shuffle and join).
+    """
+    known = materialize(b.select(*keys).distinct(), "keys")
+    return a.join(known, list(keys), "left_anti")
 
 
 def gap_check(mart: DataFrame) -> DataFrame:

@@ -16,7 +16,11 @@ MONTH = "event_month"
 
 
 def new_rows(source: DataFrame, bronze: DataFrame, id_cols: Sequence[str] = ("id", "ingested_at")) -> DataFrame:
-    """Source rows whose identity is not in bronze yet."""
+    """Source rows whose identity is not in bronze yet.
+
+    Bronze identities are unique or nearly so and are not aggregated first: a plain shuffle on
+    both sides lets AQE split an identity the source repeats very often.
+    """
     return source.join(bronze.select(*id_cols), list(id_cols), "left_anti")
 
 

@@ -17,6 +17,16 @@ RECOMMENDED_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Additions for a large cluster: start with many shuffle partitions and let AQE merge them, so that
+# no partition of a shuffle of tens of terabytes outgrows an executor.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32768",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
 
 def build_session(app_name: str = "demandspark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the recommended settings; ``conf`` keys use ``__`` for dots."""
