@@ -10,6 +10,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.clean import clean, type_events
 from ..operators.dedupe import dedupe_latest
@@ -72,13 +73,18 @@ def build_lake(spark: SparkSession, raw: DataFrame, root: str, batch_id: str) ->
     interrupted run is completed by running it again under its own batch id.
     """
     bronze, silver, gold, audit = (f"{root}/{t}" for t in ("bronze", "silver", "gold", "audit"))
-    fresh = require_rows(raw, "raw events")
+    fresh = raw
     if table_exists(spark, bronze):
-        fresh = new_rows(raw, spark.read.parquet(bronze).filter(F.col("_batch_id") != batch_id))
+        # A stated type: a batch id of digits would otherwise be read as a number.
+        columns = StructType([*raw.schema.fields, StructField("_batch_id", StringType())])
+        stored = spark.read.schema(columns).parquet(bronze)
+        fresh = new_rows(raw, stored.filter(F.col("_batch_id") != batch_id))
     append_batch(fresh.select(*raw.columns, F.current_timestamp().alias("_loaded_at")), bronze, batch_id)
     batch = spark.read.schema(raw.schema).parquet(f"{bronze}/_batch_id={batch_id}")
     appended = batch.count()
-    if appended:
+    if not appended:
+        require_rows(spark.read.parquet(bronze), "the event history")
+    else:
         record_batch(spark, audit, "bronze", batch_id, "APPEND", bronze, appended, appended)
 
     updates = clean(type_events(batch), "silver").select(*SILVER_COLUMNS)

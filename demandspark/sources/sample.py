@@ -16,8 +16,21 @@ CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
 
+# Columns of the test tables that are used. A stated schema saves the job that infers one.
+TABLES = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_orderdate timestamp_ntz",
+    "part": "p_partkey bigint, p_type string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,9 +41,9 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(_table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
               .join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
               .select("s_suppkey", "r_name"))
-    return (line.join(part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    return (line.join(part, F.col("l_partkey") == F.col("p_partkey"))
             .join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")))
+            .join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
 
 
 def _hundredths(column: str) -> Column:

@@ -51,7 +51,7 @@ def _stored_keys(spark: SparkSession, path: str, batch: DataFrame, batch_name: s
     if not table_exists(spark, path):
         return batch.limit(0).select(*EVENT_KEY)
     table = spark.read.parquet(path)
-    return table.filter(F.col(MONTH).isin(months) & (F.col("_batch_id") != batch_name)).select(*EVENT_KEY)
+    return table.filter(F.col(MONTH).isin(months) & (F.col("_batch_id").cast("string") != batch_name)).select(*EVENT_KEY)
 
 
 def _start(stream: DataFrame, write_batch, checkpoint: str) -> StreamingQuery:

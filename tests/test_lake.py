@@ -119,6 +119,27 @@ def test_compact_keeps_content_and_detail_counts(spark, tmp_path):
     assert total(after, "files") < total(before, "files") and total(after, "rows") == total(before, "rows")
 
 
+def test_empty_history_is_refused(spark, events, tmp_path):
+    with pytest.raises(ValueError, match="empty"):
+        stages.build_lake(spark, events((1, 1, "A", "N", 5, 1)).limit(0), str(tmp_path), "1")
+
+
+def test_batch_ids_of_digits(spark, events, tmp_path):
+    root = str(tmp_path)
+    ev = events((1, 1, "A", "N", 5, 1), (2, 2, "A", "N", 7, 2))
+    stages.build_lake(spark, ev.filter("id = 1"), root, "001")
+    assert stages.build_lake(spark, ev.filter("id = 1"), root, "001").appended == 1
+    assert stages.build_lake(spark, ev, root, "002").appended == 1
+    assert spark.read.parquet(f"{root}/bronze").count() == 2
+
+
+def test_fingerprint(events):
+    ev = events((1, 1, "A", "N", 5, 1), (2, 2, "A", "N", 7, 2))
+    same_rows = ev.repartition(3).orderBy(F.desc("id")).select(*reversed(ev.columns))
+    assert lake.fingerprint(ev).first() == lake.fingerprint(same_rows).first()
+    assert lake.fingerprint(ev).first() != lake.fingerprint(ev.withColumn("units_sold", F.lit(1))).first()
+
+
 def test_gate_refuses_the_whole_batch(events):
     good = events((1, 1, "A", "N", 5, 1))
     assert quality.assert_constraints(good, EVENTS) is good
