@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import EVENT_KEY, RECENCY
-from ..session import materialize
+from ..session import staged
 from ..sources.lake import replace_partitions, table_exists
 from .dedupe import dedupe_latest
 
@@ -88,21 +88,26 @@ def merge_into(spark: SparkSession, path: str, updates: DataFrame, keys: Sequenc
     The result is complete in the shared folder before any partition is replaced, and running
     an interrupted merge again gives the same table.
     """
-    batch = materialize(dedupe_latest(updates, keys, order).withColumn(MONTH, F.trunc(date, "MM")), "batch")
-    # At most one value per calendar month of the data.
-    months = [r[0] for r in batch.select(MONTH).distinct().collect()]
-    if table_exists(spark, path):
-        touched = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).select(*batch.columns)
-    else:
-        touched = batch.limit(0)
-    merged = materialize(_upserted(touched, batch, keys, order), "merged")
-    metrics = _counts(merged).first().asDict()
-    changed = merged.filter(F.col("_change").isin("inserted", "updated")).select(MONTH).distinct()
-    if metrics["inserted"] or metrics["updated"]:
-        replace_partitions(merged.drop("_change").join(changed, MONTH, "left_semi"), path, [MONTH])
+    latest = dedupe_latest(updates, keys, order).withColumn(MONTH, F.trunc(date, "MM"))
+    with staged(latest, "batch") as batch:
+        months = months_in(batch)
+        if table_exists(spark, path):
+            touched = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).select(*batch.columns)
+        else:
+            touched = batch.limit(0)
+        with staged(_upserted(touched, batch, keys, order), "merged") as merged:
+            metrics = _counts(merged).first().asDict()
+            changed = months_in(merged.filter(F.col("_change").isin("inserted", "updated")))
+            if changed:
+                replace_partitions(merged.filter(F.col(MONTH).isin(changed)).drop("_change"), path, [MONTH])
     return metrics
 
 
+def months_in(df: DataFrame) -> list:
+    """The months that occur: at most one value per calendar month, whatever the number of rows."""
+    return [r[0] for r in df.select(MONTH).distinct().collect()]
+
+
 def as_of(bronze: DataFrame, batch: int, batch_col: str = "batch_seq", keys: Sequence[str] = EVENT_KEY,
           order: Sequence[str] = RECENCY) -> DataFrame:
     """State after batch number ``batch``: the append-only history up to it, latest row per key."""

@@ -9,6 +9,8 @@ deduplication therefore needs no streaming state.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +18,9 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators.dedupe import dedupe_first
 from ..operators.rollups import daily_totals, with_trends
-from ..operators.upsert import MONTH, merge_into
+from ..operators.upsert import MONTH, merge_into, months_in
 from ..schemas import EVENT_KEY, EVENTS
-from ..session import materialize
+from ..session import staged
 from ..sources.lake import append_batch, replace_partitions, table_exists
 from ..sources.messages import parse_events
 
@@ -35,19 +37,21 @@ def _events(messages: DataFrame) -> DataFrame:
     return parsed
 
 
-def _split(messages: DataFrame, quarantine: str | None, batch_name: str) -> DataFrame:
-    """The good events of a batch, stored once; bad messages go to the quarantine folder."""
-    parsed = materialize(_events(messages), "parsed")
-    if quarantine:
-        bad = parsed.filter("is_bad").select("_corrupt_record")
-        if not bad.isEmpty():
-            append_batch(bad, quarantine, batch_name)
-    return parsed.filter(~F.col("is_bad")).select(*EVENTS.names)
+@contextmanager
+def _split(messages: DataFrame, quarantine: str | None, batch_name: str) -> Iterator[DataFrame]:
+    """The good events of a batch, stored for the length of the batch; bad messages go to the
+    quarantine folder."""
+    with staged(_events(messages), "parsed") as parsed:
+        if quarantine:
+            bad = parsed.filter("is_bad").select("_corrupt_record")
+            if not bad.isEmpty():
+                append_batch(bad, quarantine, batch_name)
+        yield parsed.filter(~F.col("is_bad")).select(*EVENTS.names)
 
 
 def _stored_keys(spark: SparkSession, path: str, batch: DataFrame, batch_name: str) -> DataFrame:
     """Keys already in the table, in the months the batch touches, from other batches."""
-    months = [r[0] for r in batch.select(MONTH).distinct().collect()]  # at most one per calendar month
+    months = months_in(batch)
     if not table_exists(spark, path):
         return batch.limit(0).select(*EVENT_KEY)
     table = spark.read.parquet(path)
@@ -80,9 +84,10 @@ def ingest_stream(messages: DataFrame, table: str, checkpoint: str, quarantine:
     def write_batch(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         name = _batch_name(checkpoint, number)
-        events = _split(batch, quarantine, name).withColumn(MONTH, F.trunc("event_date", "MM"))
-        new = dedupe_first(events, _stored_keys(spark, table, events, name))
-        append_batch(new, table, name, [MONTH])
+        with _split(batch, quarantine, name) as good:
+            events = good.withColumn(MONTH, F.trunc("event_date", "MM"))
+            new = dedupe_first(events, _stored_keys(spark, table, events, name))
+            append_batch(new, table, name, [MONTH])
 
     return _start(messages, write_batch, checkpoint)
 
@@ -104,10 +109,10 @@ def rollup_stream(messages: DataFrame, silver: str, gold: str, checkpoint: str,
                   quarantine: str | None = None) -> StreamingQuery:
     """Latest-wins upsert of every batch into silver, then a refresh of the touched rollups."""
     def write_batch(batch: DataFrame, number: int) -> None:
-        events = _split(batch, quarantine, _batch_name(checkpoint, number))
-        merge_into(batch.sparkSession, silver, events)
-        if not events.isEmpty():
-            refresh_rollups(events, silver, gold)
+        with _split(batch, quarantine, _batch_name(checkpoint, number)) as events:
+            merge_into(batch.sparkSession, silver, events)
+            if not events.isEmpty():
+                refresh_rollups(events, silver, gold)
 
     return _start(messages, write_batch, checkpoint)
 

@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime
 
 import pytest
@@ -69,6 +70,10 @@ def test_shared_folder(spark):
     assert folder == session.shared_dir(spark)
     df = spark.range(5).selectExpr("id", "timestamp_ntz'2023-01-01 00:00:00' t")
     assert session.materialize(df).schema["t"].dataType == df.schema["t"].dataType
+    with session.staged(df) as copy:
+        files_written = [f.removeprefix("file:") for f in copy.inputFiles()]
+        assert copy.count() == 5
+    assert files_written and not any(os.path.exists(f.replace("///", "/")) for f in files_written)
 
 
 def source(spark, path, **options):
