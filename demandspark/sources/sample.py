@@ -34,16 +34,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # No join hints: the optimizer broadcasts a side only while its size is below the threshold,
-    # and AQE splits a hot join key.
-    line, part, orders = (_table(spark, sf_dir, t) for t in ("lineitem", "part", "orders"))
-    stores = (_table(spark, sf_dir, "supplier")
-              .join(_table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-              .join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-              .select("s_suppkey", "r_name"))
-    return (line.join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .join(stores, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey")))
+    # No join hints: the optimizer broadcasts a table only while its own file size is below the
+    # threshold (a pre-joined side would be estimated as a product and shuffled), and AQE splits a
+    # hot join key.
+    t = {name: _table(spark, sf_dir, name) for name in TABLES}
+    return (t["lineitem"].join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
+            .join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+            .join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey")))
 
 
 def _hundredths(column: str) -> Column:
