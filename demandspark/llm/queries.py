@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard
+from . import jaccard, substrings
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,13 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without the words of 35-word windows that occur anywhere else."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select("rest.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of each document; links at a Jaccard similarity of 0.8 on five-word shingles."""
