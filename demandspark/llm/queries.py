@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, substrings
+from . import jaccard, packing, substrings
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(docs).select("rest.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of each document; links at a Jaccard similarity of 0.8 on five-word shingles."""
