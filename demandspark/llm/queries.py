@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, packing, substrings
+from . import bytenet, jaccard, packing, substrings
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +35,9 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of each document; links at a Jaccard similarity of 0.8 on five-word shingles."""
     return jaccard.similar_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_quality_bytenet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by the byte-level network; every fourth label (by crc32) is held out."""
+    return bytenet.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), bytenet.remainder(4) == 2)
