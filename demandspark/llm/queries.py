@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bytenet, jaccard, packing, substrings
+from . import bytenet, jaccard, packing, substrings, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents by the conditional random field; every third label (by crc32) is held out."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), bytenet.remainder(3) == 1)
+
+
 @query
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the words of 35-word windows that occur anywhere else."""
