@@ -2,4 +2,39 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+from .urlrules import HOST_RULES, PATTERN_RULES, pattern_regex
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _url_rules() -> str:
+    """Every rule against every url, without an index."""
+    fits = [(len(h + p), h + p, v, f"(host = {_text(h)} OR ends_with(host, {_text('.' + h)})) AND starts_with(path, {_text(p)})") for v, h, p in HOST_RULES]
+    fits.sort(key=lambda f: -f[0])
+    rule = "CASE " + " ".join(f"WHEN {c} THEN {_text(name)}" for _, name, _, c in fits) + " END"
+    verdict = "CASE " + " ".join(f"WHEN {c} THEN {_text(v)}" for _, _, v, c in fits)
+    hit = {v: " OR ".join(f"regexp_matches(coalesce(url, ''), {_text(pattern_regex(p))})" for w, p in PATTERN_RULES if w == v) for v in ("block", "allow")}
+    verdict += f" WHEN ({hit['block']}) AND NOT ({hit['allow']}) THEN 'block' ELSE 'allow' END"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+        WITH rests AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        parts AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), '{upper}', '{lower}') AS host,
+                         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests)
+        SELECT page_id, host, path, {rule} AS rule, {verdict} AS verdict FROM parts"""
+
+
+_MIXING = """
+    WITH sizes AS (SELECT source, sum(coalesce(strlen(text), 0))::DOUBLE AS size FROM documents GROUP BY source),
+    weighted AS (SELECT source, size, CASE WHEN size > 0 THEN pow(size, 0.5) ELSE 0 END AS weight FROM sizes),
+    rates AS (SELECT source, weight / sum(weight) OVER () * sum(size) OVER () / size AS rate FROM weighted WHERE size > 0),
+    terms AS (SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1.0))) OVER (PARTITION BY source ORDER BY k) AS reached
+              FROM (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 20)::BIGINT + 1)) AS k FROM rates)),
+    drawn AS (SELECT doc_id, source, text, ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / pow(2, 52) AS u FROM documents),
+    counted AS (SELECT d.doc_id, d.source, d.text, (SELECT count(*) FROM terms t WHERE t.source IS NOT DISTINCT FROM d.source AND t.reached <= d.u) AS n FROM drawn d)
+    SELECT doc_id, source, n::INTEGER AS mix_copies, c::INTEGER AS mix_copy, md5('17-order:' || coalesce(doc_id::VARCHAR, '') || ':' || c) AS mix_key,
+           sha256(text) AS text_sha256
+    FROM (SELECT *, unnest(range(1, n + 1)) AS c FROM counted WHERE n > 0)"""
+
+ORACLE_SQL: dict[str, str] = {"op4_url_rules": _url_rules(), "op6_poisson_mixing": _MIXING}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bytenet, jaccard, packing, substrings, toxicity
+from . import bytenet, jaccard, mixing, outliers, packing, substrings, toxicity, urlrules
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,12 +32,32 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(docs).select("rest.doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op3_mcd_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and verdict of each document; robust distances per language and source."""
+    return outliers.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on each page's url."""
+    return urlrules.url_verdicts(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All copies of the mixture in mixed order; sources weigh the square root of their bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(docs)
+    return mixed.select("doc_id", "source", "mix_copies", "mix_copy", "mix_key", F.sha2("text", 256).alias("text_sha256"))
+
+
 @query
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of each document; links at a Jaccard similarity of 0.8 on five-word shingles."""
