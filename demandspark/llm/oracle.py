@@ -37,4 +37,10 @@ _MIXING = """
            sha256(text) AS text_sha256
     FROM (SELECT *, unnest(range(1, n + 1)) AS c FROM counted WHERE n > 0)"""
 
-ORACLE_SQL: dict[str, str] = {"op4_url_rules": _url_rules(), "op6_poisson_mixing": _MIXING}
+_WARC = """
+    WITH rows AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+    firsts AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM rows)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first THEN first END AS refers_to FROM firsts"""
+
+ORACLE_SQL: dict[str, str] = {"op4_url_rules": _url_rules(), "op6_poisson_mixing": _MIXING, "op9_warc_chain": _WARC}
