@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytenet, jaccard, mixing, outliers, packing, substrings, toxicity, urlrules, warc
+from . import bytenet, jaccard, mixing, outliers, packing, spots, substrings, toxicity, urlrules, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,12 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how alike neighbours are."""
+    return spots.fingerprints(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to archives and read back: payload size and digest, and what revisits what."""
