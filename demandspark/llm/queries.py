@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from corpus_pipeline import run
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,3 +81,6 @@ def op9_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_bytenet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents by the byte-level network; every fourth label (by crc32) is held out."""
     return bytenet.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), bytenet.remainder(4) == 2)
+
+
+QUERIES["pipeline"] = run
