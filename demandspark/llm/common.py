@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 class WordHashes(dict):
     """64-bit hashes of words. Lives as long as its Python worker and starts anew when it is full."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
@@ -59,7 +59,13 @@ def hash_windows(words: np.ndarray, size: int) -> np.ndarray:
     return mixed
 
 
-BLOCK_BYTES = 16 << 20
+def fragment_of(hashes: np.ndarray, fragments: int) -> np.ndarray:
+    """The fragment (equal range of the order of 64-bit hashes) of each hash."""
+    part = (hashes >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)
+    return part.astype(np.uint16 if fragments < 65536 else np.int32)
+
+
+BLOCK_BYTES = 8 << 20
 
 
 def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:

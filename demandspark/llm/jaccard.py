@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import blocks, components, hash_windows, hash_words, split_words, text_class
+from .common import blocks, components, fragment_of, hash_windows, hash_words, split_words, text_class
 
 FRAGMENT_BYTES = 16 << 20   # text per fragment of step 1; a fragment's n-grams fit in one task
 OVERLAP_FRAGMENTS = 8       # fragments of the frequency order for the overlap counts
@@ -51,10 +51,6 @@ def shingle_set(text: bytes | None, size: int) -> np.ndarray:
 _ASKED = "fragment int, nodes binary, counts binary, asked binary, known binary, own binary"
 
 
-def _fragment(hashes: np.ndarray, fragments: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(fragments) >> np.uint64(32)).astype(np.uint16 if fragments < 65536 else np.int32)
-
-
 def _ask(batches: Iterator[pa.RecordBatch], fragments: int, size: int) -> Iterator[pa.RecordBatch]:
     """Per block of rows and fragment: n-grams found once in the block (with their texts), and those found in several."""
     for batch in blocks(batches):
@@ -78,11 +74,11 @@ def _ask(batches: Iterator[pa.RecordBatch], fragments: int, size: int) -> Iterat
         mark[order] = several
         n_known = np.bincount(owner[mark], minlength=len(sets))
         hashes, owner = hashes[~mark], owner[~mark]
-        part = _fragment(hashes, fragments)
+        part = fragment_of(hashes, fragments)
         order = np.argsort(part, kind="stable")  # by fragment, then by text
         hashes, owner, part = hashes[order], owner[order], part[order]
-        known_part = _fragment(known, fragments)
-        own_part = _fragment(nodes.view(np.uint64), fragments)
+        known_part = fragment_of(known, fragments)
+        own_part = fragment_of(nodes.view(np.uint64), fragments)
         own_order = np.argsort(own_part, kind="stable")
         edges = np.arange(fragments + 1)
         asked_at, known_at = np.searchsorted(part, edges), np.searchsorted(known_part, edges)
@@ -102,8 +98,8 @@ def _ask(batches: Iterator[pa.RecordBatch], fragments: int, size: int) -> Iterat
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
 
-def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One fragment: how many of the asked n-grams of each text occur in another text, and the rows told for the texts."""
+def _decide(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterator[pa.RecordBatch]:
+    """One fragment: how many of the asked n-grams of each text occur in another text, gathered by the texts' home fragments."""
     asked, nodes, known, own = [], [], [], []
     for batch in batches:
         for row in zip(*(batch[c].to_pylist() for c in ("nodes", "counts", "asked", "known", "own")), strict=True):
@@ -127,12 +123,28 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = np.repeat(differ, np.diff(starts, append=len(ranked)))
     found, counts = np.unique(owner[shared], return_counts=True)
     mine = np.concatenate(own, axis=1)
-    none = pa.nulls(len(found), pa.int64())
-    own_ids = pa.array(mine[1], mask=mine[1] == _NO_ID)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([found, mine[0]])), pa.concat_arrays([none, own_ids]),
-         pa.concat_arrays([none, pa.array(mine[2])]), pa.array(np.concatenate([counts, mine[3]]).astype(np.int64))],
-        ["node", "doc_id", "n", "shared"])
+    rows = np.concatenate([mine, np.stack([found, np.full(len(found), _NO_ID), np.zeros(len(found), np.int64), counts])], axis=1)
+    home = fragment_of(rows[0].copy().view(np.uint64), fragments)
+    order = np.argsort(home, kind="stable")
+    rows, home = rows[:, order], home[order]
+    homes, at = np.unique(home, return_index=True)
+    parts = [p.tobytes() for p in np.split(rows, at[1:], axis=1)] if len(homes) else []
+    yield pa.RecordBatch.from_arrays([pa.array(homes.astype(np.int32)), pa.array(parts, pa.binary())], ["home", "texts"])
+
+
+def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One home: a row per text with its smallest id, its number of n-grams and how many of them are shared."""
+    parts = [np.frombuffer(p, np.int64).reshape(4, -1) for batch in batches for p in batch["texts"].to_pylist()]
+    if not parts:
+        return
+    node, ids, n, shared = np.concatenate(parts, axis=1)
+    nodes, which = np.unique(node, return_inverse=True)
+    least, size = np.full(len(nodes), _NO_ID), np.zeros(len(nodes), np.int64)
+    np.minimum.at(least, which, ids)
+    np.maximum.at(size, which, n)
+    total = np.bincount(which, shared, len(nodes)).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(least, mask=least == _NO_ID), pa.array(size), pa.array(total)],
+                                     ["node", "doc_id", "n", "shared"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -228,8 +240,9 @@ def similar_components(docs: DataFrame, size: int = 5, threshold: int = 80, id_c
     fragments = max(1, -(-total // FRAGMENT_BYTES))
     rows = docs.select("doc_id", "node", F.col("text").cast("binary").alias("text"))
     asked = rows.where("node is not null").mapInArrow(partial(_ask, fragments=fragments, size=size), _ASKED)
-    counted = (asked.repartitionById(fragments, F.col("fragment")).mapInArrow(_decide, "node long, doc_id long, n long, shared long"))
-    texts = materialize(counted.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"), F.sum("shared").alias("shared")), "ngram-texts")
+    answers = asked.repartitionById(fragments, F.col("fragment")).mapInArrow(partial(_decide, fragments=fragments), "home int, texts binary")
+    counted = answers.repartitionById(fragments, F.col("home")).mapInArrow(_total, "node long, doc_id long, n long, shared long")
+    texts = materialize(counted.withColumnRenamed("doc_id", "first_id"), "ngram-texts")
 
     near = texts.where((F.col("n") > 0) & (F.col("shared") >= _least_overlap(F.col("n"), threshold))).select("node", "n", "first_id")
     kept = (rows.join(near.select("node", "first_id"), (rows.node == near.node) & rows.doc_id.eqNullSafe(near.first_id), "left_semi"))

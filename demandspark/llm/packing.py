@@ -39,28 +39,41 @@ class _Unsafe(Exception):
     """White space other than single spaces between words."""
 
 
+# Characters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on.
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+_BYTES = {b: chr(b) for b in _SHOWN} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
 class Pieces(dict):
-    """Ids of a piece of text between single spaces. A token never holds text from both sides of such a space."""
+    """Ids of a piece of text between single spaces. A token never holds text from both sides of such a space.
+
+    When it is full, pieces that have not been met since it was last full are forgotten.
+    """
 
     LIMIT = 400_000
 
     def __init__(self, tokenizer: Tokenizer, before: str):
         self.tokenizer, self.before = tokenizer, before
         self.tokenize = tokenizer.model.tokenize
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
         if not piece or piece[0].isspace() or piece[-1].isspace():
             raise _Unsafe
         if len(self) >= self.LIMIT:
+            self.older = dict(self)
             self.clear()
-        word = piece.rstrip(".,;:!?")
-        if word.isalpha() and word.isascii() and self.before:  # one token group, and one of the marks behind it
-            ids = [t.id for t in self.tokenize("Ġ" + word)]
-            if len(word) < len(piece):
-                ids += [t.id for t in self.tokenize(piece[len(word):])]
-        else:
-            ids = self.tokenizer.encode(self.before + piece, add_special_tokens=False).ids
-        value = self[piece] = np.array(ids, "<u4").tobytes()
+        value = self.older.get(piece)
+        if value is None:
+            word = piece.rstrip(".,;:!?")
+            if self.before and word.isalpha():  # one group of letters, and one of the marks behind it
+                ids = [t.id for t in self.tokenize("Ġ" + word.encode().decode("latin-1").translate(_BYTES))]
+                if len(word) < len(piece):
+                    ids += [t.id for t in self.tokenize(piece[len(word):])]
+            else:
+                ids = self.tokenizer.encode(self.before + piece, add_special_tokens=False).ids
+            value = np.array(ids, "<u4").tobytes()
+        self[piece] = value
         return value
 
 
@@ -93,10 +106,14 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def best_cuts(at: list[int], penalty: list[int], size: int, last: bool) -> list[int]:
+def best_cuts(at: np.ndarray, penalty: list[int], size: int, last: bool) -> list[int]:
     """Positions at which windows end. ``at`` ascends from 0 in steps of at most ``size``; with ``last`` the end is one of them."""
-    powers = [1 << k for k in range(size.bit_length()) if 1 << k <= size]
-    where = {position: k for k, position in enumerate(at)}
+    number = np.full(int(at[-1]) + 1, -1)
+    number[at] = np.arange(len(at))
+    exact = np.stack([np.where(at >= 1 << k, number[np.maximum(at - (1 << k), 0)], -1) for k in range(size.bit_length()) if 1 << k <= size], axis=1)
+    rows, columns = np.nonzero(exact >= 0)  # cut points a power of two before each cut point
+    partners, first = exact[rows, columns].tolist(), np.searchsorted(rows, np.arange(len(at) + 1)).tolist()
+    at = at.tolist()
     best, back = [0] * len(at), [0] * len(at)
     queue: deque[tuple[int, int]] = deque([(at[0], 0)])  # (best + at, index), ascending in both
     for j in range(1, len(at)):
@@ -105,11 +122,9 @@ def best_cuts(at: list[int], penalty: list[int], size: int, last: bool) -> list[
             queue.popleft()
         value, i = queue[0]
         cost = value + size - here
-        if cost > 0:
-            for power in powers:
-                k = where.get(here - power)
-                if k is not None and best[k] < cost:
-                    cost, i = best[k], k
+        for k in partners[first[j]:first[j + 1]]:
+            if best[k] < cost:
+                cost, i = best[k], k
         best[j], back[j] = cost + penalty[j], i
         key = best[j] + here
         while queue and queue[-1][0] >= key:
@@ -126,7 +141,7 @@ def best_cuts(at: list[int], penalty: list[int], size: int, last: bool) -> list[
 
 
 def cut_points(ids: np.ndarray, document_ends: np.ndarray, sentence_end: np.ndarray, size: int, stride: int,
-               sentence_penalty: int, inner_penalty: int) -> tuple[list[int], list[int]]:
+               sentence_penalty: int, inner_penalty: int) -> tuple[np.ndarray, list[int]]:
     """Ascending cut points of a stream, 0 first, and what it costs to end a window there."""
     sentences = np.flatnonzero(sentence_end[np.minimum(ids, len(sentence_end) - 1)]) + 1
     at = np.union1d(np.concatenate([[0], sentences]), document_ends)
@@ -138,7 +153,7 @@ def cut_points(ids: np.ndarray, document_ends: np.ndarray, sentence_end: np.ndar
     cost = np.full(len(at), inner_penalty)
     cost[np.searchsorted(at, sentences)] = sentence_penalty
     cost[np.searchsorted(at, document_ends)] = 0
-    return at.tolist(), cost.tolist()
+    return at, cost.tolist()
 
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

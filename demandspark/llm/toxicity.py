@@ -5,8 +5,8 @@ its beginnings and its end and in the same features of both neighbours, and of t
 passes give the marginal probability that a word is toxic; a document's score is a logistic function of the largest
 marginal, the expected number of toxic words and their share.
 
-*Labelled words.* Labels exist per document. A feature marks toxic words when it occurs in at least ``share`` of the toxic
-sample documents (three at least) and ``ratio`` times as often among them as among the clean ones. In a toxic document the
+*Labelled words.* Labels exist per document. A feature marks toxic words when it occurs in at least three plus ``share`` of the toxic
+sample documents and ``ratio`` times as often among them as among the clean ones. In a toxic document the
 words with such a feature are labelled toxic, all others clean; the field then learns context and transitions as well.
 
 The sample for the fit is bounded by ``sample`` rows of each label and ``max_train_bytes`` of text per row (longer texts
@@ -126,7 +126,7 @@ def _marginals(state, starts, lengths, model):
 
 def marking_features(bad: Counter, good: Counter, toxic: np.ndarray, share: float, ratio: float) -> set[str]:
     n_bad, n_good = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
-    return {f for f, k in bad.items() if k >= max(3, share * n_bad) and k / n_bad >= ratio * (good[f] + 0.5) / n_good}
+    return {f for f, k in bad.items() if k >= 3 + share * n_bad and k / n_bad >= ratio * (good[f] + 0.5) / n_good}
 
 
 def fit(texts: list[bytes], toxic: np.ndarray, share: float = 0.02, ratio: float = 20.0, epochs: int = 10, steps: int = 20,
