@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from corpus_pipeline import run
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bytenet, jaccard, mixing, outliers, packing, spots, substrings, toxicity, urlrules, warc
-from .common import table
+from .common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+    QUERIES[fn.__name__] = shipped
+    return shipped
 
 
 @query
@@ -83,4 +88,7 @@ def op10_quality_bytenet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytenet.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), bytenet.remainder(4) == 2)
 
 
-QUERIES["pipeline"] = run
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over ``documents``."""
+    return run(spark, sf_dir)
