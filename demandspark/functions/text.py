@@ -13,8 +13,12 @@ def slug(name: Column) -> Column:
 
 
 def metric_key(key: Column) -> Column:
-    """A key in the alphabet metric stores accept, at most 250 characters."""
-    return F.substring(F.regexp_replace(key, r"[^0-9A-Za-z_\-. /]", "_"), 1, 250)
+    """A key in the alphabet metric stores accept, at most 250 characters.
+
+    A longer key keeps its beginning and ends in a hash of the whole, so that different keys stay different.
+    """
+    plain = F.regexp_replace(key, r"[^0-9A-Za-z_\-. /]", "_")
+    return F.when(F.length(plain) <= 250, plain).otherwise(F.concat(F.substring(plain, 1, 217), F.lit("-"), F.md5(key)))
 
 
 def format_thousands(value: Column, decimals: int = 0) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,9 +40,12 @@ def dedupe_first(new: DataFrame, existing: DataFrame, keys: Sequence[str] = EVEN
                  order: Sequence[str] = RECENCY) -> DataFrame:
     """Insert-ignore: new rows whose key is not stored yet, the first arrival of each key.
 
-    Both sides have one row per key before they meet, so no key is hot in the join.
+    Both sides have one row per key before they meet, so no key is hot in the join. Null key parts
+    are equal to each other.
     """
-    return keep_first(new, keys, order).join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    known = existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys))
+    return keep_first(new, keys, order).join(known, same, "left_anti")
 
 
 def duplicate_stats(df: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame:

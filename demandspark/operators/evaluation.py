@@ -40,7 +40,7 @@ def model_position(model: Column, order: Mapping[str, int] = MODEL_ORDER) -> Col
 
 def model_comparison(*metrics: DataFrame, order: Mapping[str, int] = MODEL_ORDER) -> DataFrame:
     """All metrics in one table, models in their fixed order, then series."""
-    return union_metrics(*metrics).select(*METRIC_COLUMNS).orderBy(model_position(F.col("model"), order), SERIES)
+    return union_metrics(*metrics).select(*METRIC_COLUMNS).orderBy(model_position(F.col("model"), order), "model", SERIES)
 
 
 def model_means(metrics: DataFrame) -> DataFrame:

@@ -54,14 +54,19 @@ def horizon_bucket(days_out: Column) -> Column:
     return bucket
 
 
+def check_horizon(horizon: int) -> None:
+    """Days beyond the last bucket would drop out of the tables made by bucket, so they are refused."""
+    if horizon > HORIZONS[-1]:
+        raise ValueError(f"horizon must be at most {HORIZONS[-1]} days")
+
+
 def seasonal_naive_forward(df: DataFrame, horizon: int = HOLDOUT_DAYS) -> DataFrame:
     """Forecast of the days after the last one, from the whole history.
 
     A day of the last year shifted by 364 days is the day it predicts, so future days are made
-    from history rows directly; ``horizon`` must not exceed 364.
+    from history rows directly.
     """
-    if horizon > SEASON_LAG:
-        raise ValueError(f"horizon must be at most {SEASON_LAG} days")
+    check_horizon(horizon)
     whole = time_split(df, 0)
     age = F.date_diff("cutoff", "ds")
     growth = trailing_growth(df, 0).select(SERIES, "growth")

@@ -30,13 +30,18 @@ def design(days: np.ndarray, holiday: np.ndarray, first: float, last: float) ->
 
 
 def to_units(log_values: np.ndarray) -> np.ndarray:
-    return np.maximum(np.expm1(np.clip(log_values, None, 50.0)), 0.0)
+    """Units, not a number where the trend leaves the range of a double."""
+    with np.errstate(over="ignore"):
+        units = np.maximum(np.expm1(log_values), 0.0)
+    return np.where(np.isfinite(units), units, np.nan)
 
 
 def predict(pdf: pd.DataFrame, grid: list[float], keys: list[str]) -> pd.DataFrame:
     """Fit the rows with ``is_train``, predict the others, once per flexibility in ``grid``."""
     pdf = pdf.sort_values("ds", ignore_index=True)
     train = pdf["is_train"].to_numpy(dtype=bool)
+    if not train.any():  # nothing to learn from: no prediction; forecast_series_status names such series
+        return pd.DataFrame(columns=[*keys, "ds", "y", "flexibility", "yhat", "yhat_lower", "yhat_upper"])
     days = pdf["day"].to_numpy(dtype=float)
     x = design(days, pdf["us_holiday"].to_numpy(), days[train].min(), days[train].max())
     target = np.log1p(pdf["y"].to_numpy(dtype=float)[train])

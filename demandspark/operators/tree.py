@@ -7,9 +7,9 @@ number of series does not change the number of models.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import FeatureHasher, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import HOLDOUT_DAYS
@@ -17,27 +17,26 @@ from ..session import materialize
 from .features import FEATURES, _has_null, eligible, make_features
 from .rollups import SERIES
 
-MAX_INDEXED_SERIES = 32
+SERIES_CODES = ["series_code_0", "series_code_1", "series_code_2"]
 
 
-def _series_stage(train: DataFrame):
-    """Index few series; hash many, so that no list of names is held on the driver."""
-    few = train.select(SERIES).distinct().limit(MAX_INDEXED_SERIES + 1).count() <= MAX_INDEXED_SERIES
-    if few:
-        return StringIndexer(inputCol=SERIES, outputCol="series_code", handleInvalid="keep",
-                             stringOrderType="alphabetAsc")
-    return FeatureHasher(inputCols=[SERIES], outputCol="series_code", numFeatures=64)
+def _series_codes() -> dict[str, Column]:
+    """Three hashed coordinates of the series' name, whatever the number of series.
+
+    Splits on them can single out any series, and no list of names exists anywhere.
+    """
+    return {name: F.pmod(F.xxhash64(SERIES, F.lit(k)), F.lit(1 << 20)) / float(1 << 20) for k, name in enumerate(SERIES_CODES)}
 
 
 def direct_tree(df: DataFrame, iterations: int = 20, depth: int = 5, learning_rate: float = 0.1,
                 seed: int = 42, horizon: int = HOLDOUT_DAYS) -> DataFrame:
     """Holdout predictions of the eligible series, never below zero."""
     features = materialize(make_features(df, horizon), "features")
-    usable = features.join(eligible(features).filter("is_eligible").select(SERIES), SERIES, "left_semi")
+    usable = features.join(eligible(features).filter("is_eligible").select(SERIES), SERIES, "left_semi") \
+        .withColumns(_series_codes())
     train = usable.filter(~F.col("is_holdout") & ~_has_null([*FEATURES, "target_ratio"]))
     model = Pipeline(stages=[
-        _series_stage(train),
-        VectorAssembler(inputCols=[*FEATURES, "series_code"], outputCol="features"),
+        VectorAssembler(inputCols=[*FEATURES, *SERIES_CODES], outputCol="features"),
         GBTRegressor(featuresCol="features", labelCol="target_ratio", predictionCol="ratio",
                      maxIter=iterations, maxDepth=depth, stepSize=learning_rate, maxBins=64,
                      minInstancesPerNode=10, seed=seed),

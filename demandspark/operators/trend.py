@@ -17,7 +17,7 @@ from ..functions import holiday_code, mape
 from ..schemas import CV_INITIAL_DAYS, CV_PERIOD_DAYS, FLEXIBILITY_GRID, HOLDOUT_DAYS
 from . import ridge
 from .features import future_frame, rolling_origins, time_split, with_cutoff
-from .naive import horizon_bucket
+from .naive import check_horizon, horizon_bucket
 from .rollups import SERIES
 
 # Ship the fit with the tasks, so that executors need no copy of this package.
@@ -40,11 +40,15 @@ def fit_and_predict(df: DataFrame, grid: Sequence[float]) -> DataFrame:
 
 
 def _fit_chosen(df: DataFrame, chosen: DataFrame | None, flexibility: float) -> DataFrame:
-    """Fit with one flexibility for all series, or with the one ``chosen`` has for each."""
+    """Fit with one flexibility for all series, or with the one ``chosen`` has for each.
+
+    A series that ``chosen`` lacks (too short for one origin, say) is fitted with ``flexibility``.
+    """
     if chosen is None:
         return fit_and_predict(df, [flexibility])
     predict, keys = ridge.predict, _KEYS
-    picked = _prepared(df).join(chosen.select(SERIES, "flexibility"), SERIES)
+    picked = _prepared(df).join(chosen.select(SERIES, F.col("flexibility").alias("_tuned")), SERIES, "left") \
+        .withColumn("flexibility", F.coalesce("_tuned", F.lit(float(flexibility)))).drop("_tuned")
     return picked.groupBy(*keys).applyInPandas(
         lambda pdf: predict(pdf, [float(pdf["flexibility"].iloc[0])], keys), _SCHEMA)
 
@@ -81,9 +85,21 @@ def best_param(cv: DataFrame, grid: Sequence[float] = FLEXIBILITY_GRID) -> DataF
     return best.join(renamed, SERIES)
 
 
+def forecast_series_status(df: DataFrame, chosen: DataFrame, flexibility: float = 0.05, horizon: int = HOLDOUT_DAYS) -> DataFrame:
+    """One row per series: days of history, whether a backtest is possible, the flexibility used and where it comes from."""
+    days = with_cutoff(df, horizon).groupBy(SERIES).agg(
+        F.count("*").alias("days"), F.count_if(F.col("ds") <= F.col("cutoff")).alias("train_days"))
+    joined = days.join(chosen.select(SERIES, F.col("flexibility").alias("_tuned")), SERIES, "left")
+    return joined.select(
+        SERIES, "days", (F.col("train_days") > 0).alias("has_backtest"), F.coalesce("_tuned", F.lit(float(flexibility))).alias("flexibility"),
+        F.when(F.col("_tuned").isNotNull(), "tuned").when(F.col("train_days") > 0, "default: no complete origin")
+        .otherwise("default: no day before the holdout").alias("reason"))
+
+
 def forecast_forward(df: DataFrame, flexibility: float = 0.05, chosen: DataFrame | None = None,
                      horizon: int = HOLDOUT_DAYS) -> DataFrame:
-    """Refit on the whole history and forecast the days after it."""
+    """Refit on the whole history and forecast the days after it, at most as many as there are buckets for."""
+    check_horizon(horizon)
     history = df.select("ds", SERIES, F.col("y").cast("double").alias("y"))
     future = future_frame(df, horizon).select("ds", SERIES, F.lit(None).cast("double").alias("y"))
     marked = history.withColumn("is_train", F.lit(True)).unionByName(future.withColumn("is_train", F.lit(False)))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,9 +39,12 @@ def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
 
 
 def _matched(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Target and latest update side by side, one row per key."""
+    """Target and latest update side by side, one row per key. Null key parts are equal to each other."""
     latest = dedupe_latest(updates, keys, order, target.columns)
-    return _prefixed(target, keys, "_old").join(_prefixed(latest, keys, "_new"), list(keys), "full_outer")
+    new = _prefixed(latest, keys, "_new").select("_new", *[F.col(k).alias(f"_key_{k}") for k in keys])
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
+    joined = _prefixed(target, keys, "_old").join(new, same, "full_outer")
+    return joined.select(*[F.coalesce(k, f"_key_{k}").alias(k) for k in keys], "_old", "_new")
 
 
 def _newer(order: Sequence[str]) -> Column:

@@ -93,6 +93,12 @@ def _reconcile(a: str, b: str) -> str:
     from {a} a full outer join {b} b on a.event_date = b.event_date and a.product_category = b.product_category"""
 
 
+def _reconcile_lines(a: str, b: str) -> str:
+    return " union all ".join(
+        f"""select '{c}' "value", only_in_left left_only, only_in_right right_only, matched paired, mismatch_{c} beyond,
+        cast(max_diff_{c} as double) widest from ({_reconcile(a, b)})""" for c in _TOLERANCE)
+
+
 def _parity(layer: str, name: str, left: str, right: str, source: str, tol: str = "0", text: bool = False) -> str:
     a, b = f"({left})", f"({right})"
     diff = f"case when {a} <> {b} then 'differs' end" if text else f"cast(abs({a} - {b}) as varchar)"
@@ -402,7 +408,7 @@ STATEMENTS = {
     "missing_from": f"""select id, {KEY} from batches where batch_seq <= 1998 and ({KEY}) not in
         (select ({KEY}) from batches where batch_seq > 1998)""",
     "profile": _profile("roll"),
-    "reconcile": _reconcile("roll", "roll_2000"),
+    "reconcile": _reconcile_lines("roll", "roll_2000"),
     "parity_summary": _parity_summary(),
     "parity_rows": _parity_rows(),
     "key_counts": f"""select (select count(*) from ev) raw_rows, (select count(distinct ({KEY})) from ev) raw_distinct_keys,
@@ -411,7 +417,7 @@ STATEMENTS = {
         (select count(distinct ({KEY})) from batches where batch_seq <= 2000) silver_rows,
         (select count(distinct ({KEY})) from batches where batch_seq <= 2000) silver_distinct_keys""",
     "parity_layers": " union all ".join([
-        _parity("bronze", "raw_rows_missing_from_bronze", "0", "0", "(select 1)"),
+        _parity("bronze", "raw_rows_missing_from_bronze", "select count(*) from batches where batch_seq > 2000", "0", "(select 1)"),
         _parity("silver", "row_count_vs_raw_distinct_keys", "select count(*) from latest",
                 f"select count(distinct ({KEY})) from ev", "(select 1)"),
         _parity("silver", "distinct_keys_vs_raw_distinct_keys", f"select count(distinct ({KEY})) from latest",

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..operators.clean import clean, type_events
+from ..operators.clean import clean, rejects, type_events
 from ..operators.dedupe import dedupe_latest
 from ..operators.evaluation import forecast_vs_actual, model_comparison, score
 from ..operators.marts import daily_category_from_events, dim_category, fact_daily_sales, forecast_mart
@@ -21,10 +21,10 @@ from ..operators.quality import assert_constraints, fill_calendar, require_rows
 from ..operators.rollups import daily_totals, rollups
 from ..operators.tree import direct_tree
 from ..operators.trend import best_param, forecast_forward, rolling_cv, trend_season
-from ..operators.upsert import merge_into, new_rows
+from ..operators.upsert import merge_into, new_rows, stamp
 from ..schemas import EVENT_KEY, EVENTS
 from ..session import materialize
-from ..sources.lake import (append_batch, rebuild_partitioned, record_batch, replace_model_partition, table_exists)
+from ..sources.lake import (append_batch, current_location, rebuild_partitioned, record_batch, replace_model_partition, table_exists)
 
 SILVER_COLUMNS = tuple(EVENTS.names)
 
@@ -68,9 +68,9 @@ def build_lake(spark: SparkSession, raw: DataFrame, root: str, batch_id: str) ->
     """One incremental run of the lake: append new raw rows to bronze, upsert them into silver,
     rebuild gold into a new snapshot, and record all three in the audit.
 
-    Silver reads only the new batch, not the whole of bronze, so a run costs what the batch
-    and the months it touches cost. The same input under a new batch id changes nothing; an
-    interrupted run is completed by running it again under its own batch id.
+    Silver reads the bronze batches whose MERGE the audit does not record as finished: the new
+    batch and whatever an interrupted run left behind, under any batch id. Rows that silver refuses
+    are stored with their reason. Gold is rebuilt when silver changed or has not been built since.
     """
     bronze, silver, gold, audit = (f"{root}/{t}" for t in ("bronze", "silver", "gold", "audit"))
     fresh = raw
@@ -79,25 +79,54 @@ def build_lake(spark: SparkSession, raw: DataFrame, root: str, batch_id: str) ->
         columns = StructType([*raw.schema.fields, StructField("_batch_id", StringType())])
         stored = spark.read.schema(columns).parquet(bronze)
         fresh = new_rows(raw, stored.filter(F.col("_batch_id") != batch_id))
-    append_batch(fresh.select(*raw.columns, F.current_timestamp().alias("_loaded_at")), bronze, batch_id)
-    batch = spark.read.schema(raw.schema).parquet(f"{bronze}/_batch_id={batch_id}")
-    appended = batch.count()
+    append_batch(stamp(fresh.select(*raw.columns), batch_id), bronze, batch_id)
+    appended = spark.read.schema(raw.schema).parquet(f"{bronze}/_batch_id={batch_id}").count()
     if not appended:
         require_rows(spark.read.parquet(bronze), "the event history")
     else:
         record_batch(spark, audit, "bronze", batch_id, "APPEND", bronze, appended, appended)
 
-    updates = clean(type_events(batch), "silver").select(*SILVER_COLUMNS)
-    metrics = merge_into(spark, silver, assert_constraints(updates, EVENTS))
-    if metrics["inserted"] or metrics["updated"]:
-        record_batch(spark, audit, "silver", batch_id, "MERGE", silver, **metrics)
-
-    rolled = rollups(spark.read.parquet(silver)).withColumn("event_year", F.year("event_date"))
-    target = rebuild_partitioned(rolled, gold, ["product_category"], batch_id)
-    record_batch(spark, audit, "gold", batch_id, "OVERWRITE", target)
+    metrics = dict.fromkeys(("source_rows", "inserted", "updated", "unchanged"), 0)
+    # A stated type: a batch id of digits would otherwise be read as a number.
+    history = spark.read.schema(StructType([*raw.schema.fields, StructField("_batch_id", StringType())])).parquet(bronze)
+    unmerged = unmerged_batches(history, audit)
+    pending = sorted({*unmerged, *([batch_id] if appended else [])})
+    if pending:
+        typed = type_events(history.filter(F.col("_batch_id").isin(pending)).select(*raw.columns))
+        refused = rejects(typed, "silver")
+        if not refused.isEmpty():
+            append_batch(refused, f"{root}/rejects", batch_id)
+        metrics = merge_into(spark, silver, assert_constraints(clean(typed, "silver").select(*SILVER_COLUMNS), EVENTS))
+        for name in pending[:-1]:  # merged together with the last one, which carries the counts
+            record_batch(spark, audit, "silver", name, "MERGE", silver)
+        record_batch(spark, audit, "silver", pending[-1], "MERGE", silver, **metrics)
+
+    target = current_location(spark, audit, "gold")
+    if target is None or unmerged or metrics["inserted"] or metrics["updated"] or _gold_is_old(spark, audit):
+        rolled = rollups(spark.read.parquet(silver)).withColumn("event_year", F.year("event_date"))
+        target = rebuild_partitioned(rolled, gold, ["product_category"], batch_id)
+        record_batch(spark, audit, "gold", batch_id, "OVERWRITE", target)
     return LakeRun(appended, metrics, target)
 
 
+def unmerged_batches(bronze: DataFrame, audit: str) -> list[str]:
+    """Bronze batches without a finished MERGE in the audit: one name per batch, not per row."""
+    spark = bronze.sparkSession
+    names = {r[0] for r in bronze.select("_batch_id").distinct().collect()}
+    if table_exists(spark, audit):
+        done = spark.read.parquet(audit).filter("table = 'silver' and operation = 'MERGE'").select("batch_id").distinct()
+        names -= {r[0] for r in done.collect()}
+    return sorted(names)
+
+
+def _gold_is_old(spark: SparkSession, audit: str) -> bool:
+    """Whether silver has changed since gold was last built."""
+    changed = (F.col("table") == "silver") & (F.col("inserted") + F.col("updated") > 0)
+    built, merged = spark.read.parquet(audit).agg(F.max(F.when(F.col("table") == "gold", F.col("recorded_at"))),
+                                                  F.max(F.when(changed, F.col("recorded_at")))).first()
+    return merged is not None and (built is None or built < merged)
+
+
 class Forecasts(NamedTuple):
     metrics: DataFrame
     tuning: DataFrame

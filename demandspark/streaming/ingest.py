@@ -40,12 +40,13 @@ def _events(messages: DataFrame) -> DataFrame:
 @contextmanager
 def _split(messages: DataFrame, quarantine: str | None, batch_name: str) -> Iterator[DataFrame]:
     """The good events of a batch, stored for the length of the batch; bad messages go to the
-    quarantine folder."""
+    quarantine folder, or fail the batch if there is none."""
     with staged(_events(messages), "parsed") as parsed:
-        if quarantine:
-            bad = parsed.filter("is_bad").select("_corrupt_record")
-            if not bad.isEmpty():
-                append_batch(bad, quarantine, batch_name)
+        bad = parsed.filter("is_bad").select("_corrupt_record")
+        if not bad.isEmpty():
+            if not quarantine:
+                raise ValueError("malformed messages and no quarantine folder")
+            append_batch(bad, quarantine, batch_name)
         yield parsed.filter(~F.col("is_bad")).select(*EVENTS.names)
 
 
@@ -74,7 +75,8 @@ def ingest_stream(messages: DataFrame, table: str, checkpoint: str, quarantine:
 
     The query reads what is available and stops; the checkpoint makes the next run resume, a new
     checkpoint replays from the start. ``dedupe="watermark"`` also drops repeats inside the
-    watermark before the table is asked, which needs a ``timestamp`` column.
+    watermark before the table is asked, which needs a ``timestamp`` column; it also drops events that
+    arrive later than the watermark. Keep the default where late events must be accepted.
     """
     if dedupe not in ("table", "watermark"):
         raise ValueError("dedupe must be 'table' or 'watermark'")

@@ -61,7 +61,21 @@ def test_parity_of_equal_and_changed_rollups(events):
     parity.assert_parity(parity.parity_rows(a, a))
     with pytest.raises(ValueError):
         parity.assert_parity(parity.parity_rows(a, b))
-    assert parity.reconcile(a, b).first().mismatch_daily_units == 1
+    lines = {r.value: r for r in parity.reconcile(a, b).collect()}
+    assert (lines["daily_units"].beyond, lines["daily_units"].widest, lines["daily_units"].paired) == (1, 1.0, 14)
+
+
+def test_reconcile_counts_repeated_and_null_keys(spark):
+    def table(*rows):
+        return spark.createDataFrame(rows, "k string, v int")
+    left, right = table(("a", 1), ("a", 2), (None, 3), ("c", None)), table(("a", 1), (None, 5), ("c", 4), ("d", 1))
+    row = parity.reconcile(left, right, ["k"], {"v": 1}).first()
+    assert (row.left_only, row.right_only, row.paired, row.beyond, row.widest) == (1, 1, 2, 2, 2.0)
+    assert parity.reconcile(left.limit(0), right.limit(0), ["k"], {"v": 1}).first().paired == 0
+
+
+def test_parity_needs_matched_rows(events):
+    a = rollups.rollups(events(*[(d, d, "A", "N", d, 1) for d in range(1, 15)]))
     with pytest.raises(ValueError):  # two empty tables have nothing in common
         parity.assert_parity(parity.parity_rows(a.limit(0), a.limit(0)))
 

@@ -9,10 +9,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from demandspark.plans import oracle
+from demandspark.plans.queries import QUERIES
 from tests.compare import compare, connect
 from tests.conftest import SMALL
 
-STATEMENTS = entry.oracle_sql()
+STATEMENTS = oracle.oracle_sql()
 # Fitted models and text rows have no SQL counterpart.
 WITHOUT_SQL = {"trend_season", "rolling_cv", "best_param", "forecast_forward", "direct_tree",
                "trained_model_comparison", "fact_lines"}
@@ -30,8 +32,8 @@ def con():
 
 
 def test_only_known_queries_lack_sql():
-    assert set(entry.queries()) - set(STATEMENTS) == WITHOUT_SQL
-    assert set(STATEMENTS) <= set(entry.queries())
+    assert set(QUERIES) - set(STATEMENTS) == WITHOUT_SQL
+    assert set(STATEMENTS) <= set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):
@@ -40,11 +42,11 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(STATEMENTS if EVERYTHING else SAMPLE))
 def test_query_equals_sql(spark, con, name):
-    problems = compare(entry.queries()[name](spark, SMALL), con, STATEMENTS[name])
+    problems = compare(QUERIES[name](spark, SMALL), con, STATEMENTS[name])
     # At the smallest scale two of the three baselines may leave nothing to list.
     assert [p for p in problems if p != "no rows"] == []
 
 
 @pytest.mark.parametrize("name", sorted(WITHOUT_SQL if EVERYTHING else {"best_param", "fact_lines"}))
 def test_query_without_sql_has_rows(spark, name):
-    assert entry.queries()[name](spark, SMALL).count() > 0
+    assert QUERIES[name](spark, SMALL).count() > 0

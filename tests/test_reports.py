@@ -30,6 +30,8 @@ def test_formats(spark):
     assert text(spark, slug(F.lit("Home & Garden"))) == "home-and-garden"
     assert text(spark, metric_key(F.lit("a&b:c"))) == "a_b_c"
     assert len(text(spark, metric_key(F.repeat(F.lit("x"), 300)))) == 250
+    long = F.repeat(F.lit("x"), 300)
+    assert text(spark, metric_key(F.concat(long, F.lit("a")))) != text(spark, metric_key(F.concat(long, F.lit("b"))))
 
 
 def test_year_over_year_clamps_leap_day(spark):
