@@ -6,18 +6,47 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import EVENT_KEY, RECENCY
 
 
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_LOWEST = -(1 << 62)
+
+
+def _packed(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """A time and an id as one number that sorts like both, nulls first; None for another order."""
+    kinds = [df.schema[c].dataType for c in order]
+    if len(kinds) != 2 or not isinstance(kinds[1], T.IntegralType):
+        return None
+    when, number = (F.col(c) for c in order)
+    if isinstance(kinds[0], T.TimestampType):
+        micros = F.unix_micros(when)
+    elif isinstance(kinds[0], T.TimestampNTZType):
+        micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), when)
+    else:
+        return None
+    exact = lambda value: F.lit(str(value)).cast("decimal(20,0)")
+    high = F.coalesce(micros.cast("decimal(20,0)"), exact(_LOWEST)) * exact(1 << 64)
+    low = F.coalesce(number.cast("decimal(20,0)") + exact((1 << 63) + 1), exact(0))
+    return (high + low).cast("decimal(38,0)")
+
+
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick, columns) -> DataFrame:
-    wanted = [c for c in (columns or df.columns) if c not in keys]
+    """Columns of fixed width are picked one by one by a packed order, which hash aggregation can update
+    in place; equal orders are met in the same sequence by each of them. Others are picked as a struct."""
+    kept = list(columns or df.columns)
+    wanted = [c for c in kept if c not in keys]
+    packed = _packed(df, order)
+    if packed is not None and wanted and all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in wanted):
+        ordered = df.select(*dict.fromkeys([*keys, *wanted]), packed.alias("_order"))
+        return ordered.groupBy(*keys).agg(*[pick(c, "_order").alias(c) for c in wanted]).select(*kept)
     best = pick(F.struct(*wanted), F.struct(*order)).alias("_row")
     chosen = df.groupBy(*keys).agg(best)
-    return chosen.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
-                           for c in (columns or df.columns) if c in keys or c in wanted])
+    return chosen.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in kept])
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str] = EVENT_KEY, order: Sequence[str] = RECENCY,

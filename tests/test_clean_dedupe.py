@@ -97,5 +97,18 @@ def test_hot_key_is_combined_before_the_shuffle(spark, events):
         "timestamp_ntz'2023-01-01 00:00:00' ingested_at")
     latest = dedupe.dedupe_latest(hot)
     plan = latest._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan
+    assert "partial_max_by" in plan and "SortAggregate" not in plan and "ObjectHash" not in plan and "Sort [" not in plan
     assert latest.collect()[0].id == 199_999
+
+
+def test_packed_order_equals_struct_order(spark):
+    rows = [(k % 3 if k % 7 else None, datetime(1960 + k % 60, 1, 1) if k % 5 else None, (k * 7919) % 101 - 50 if k % 11 else None,
+             k if k % 4 else None) for k in range(400)]
+    df = spark.createDataFrame(rows, "k int, t timestamp_ntz, id long, v int")
+    for pick, first in ((dedupe.dedupe_latest, False), (dedupe.keep_first, True)):
+        got = pick(df, ["k"], ["t", "id"]).collect()
+        for r in got:
+            mine = [x for x in rows if x[0] == r.k]
+            key = lambda x: (x[1] is not None, x[1] or datetime.min, x[2] is not None, x[2] or 0)
+            best = min(map(key, mine)) if first else max(map(key, mine))
+            assert (r.k, r.t, r.id, r.v) in [x for x in mine if key(x) == best]
