@@ -328,6 +328,12 @@ STATEMENTS = {
         case when store_region is null then 'null_store_region' end, case when revenue is null then 'null_revenue' end,
         case when revenue < 0 then 'negative_revenue' end, case when avg_unit_price is null then 'null_avg_unit_price' end)
         reasons from typed where not coalesce({_SILVER_OK}, false)""",
+    "silver_rejects": f"""select id, {KEY}, concat_ws('|', case when event_date is null then 'null_event_date' end,
+        case when product_category is null then 'null_product_category' end,
+        case when units_sold is null then 'null_units_sold' end, case when units_sold < 0 then 'negative_units_sold' end,
+        case when store_region is null then 'null_store_region' end, case when revenue is null then 'null_revenue' end,
+        case when revenue < 0 then 'negative_revenue' end, case when avg_unit_price is null then 'null_avg_unit_price' end)
+        reasons from typed where not coalesce({_SILVER_OK}, false)""",
     "dedupe_latest": "select * from latest",
     "dedupe_first": _latest("batches", f"""batch_seq >= 1998 and ({KEY}) not in
         (select ({KEY}) from batches where batch_seq < 1998)""", "asc"),
@@ -358,6 +364,11 @@ STATEMENTS = {
         from (select batch_seq - 1995 version, count(*) source_rows from batches group by 1),
           (values ('bronze', 'APPEND'), ('silver', 'MERGE')) v(t, operation)) where recency <= 5""",
     "lake_build": "select * from roll",
+    "lake_recovery": "select * from roll",
+    "compact_events": "select * from ev",
+    "history_csv": """select event_date "date", product_category, units_sold, cast(revenue as double) revenue,
+        cast(avg_unit_price as double) avg_unit_price, store_region, promotion_flag from ev""",
+    "inferred_csv": "select event_date, product_category, cast(daily_units as bigint) daily_units from daily",
     "daily_totals": "select * from daily",
     "daily_mix": "select * from mix",
     "monthly_category": """select cast(date_trunc('month', ds) as date) sales_month, product_category,

@@ -233,6 +233,54 @@ def lake_build(spark, d):
     return spark.read.parquet(run.gold).drop("event_year")
 
 
+@query
+def lake_recovery(spark, d):
+    """A run that stopped after bronze, completed by the next run under a new batch id; the gold table."""
+    root = scratch_path(spark, "lake")
+    raw = sales_events(spark, d)
+    lake.append_batch(upsert.stamp(raw.filter(F.year("ingested_at") <= 1998), "stopped"), f"{root}/bronze", "stopped")
+    run = stages.build_lake(spark, raw, root, "next")
+    return spark.read.parquet(run.gold).drop("event_year")
+
+
+@query
+def silver_rejects(spark, d):
+    """Rows that a lake run refused for silver, as it stored them."""
+    root = scratch_path(spark, "lake")
+    stages.build_lake(spark, messy_events(spark, d), root, "run1")
+    return spark.read.parquet(f"{root}/rejects").select("id", *EVENT_KEY, F.concat_ws("|", "reasons").alias("reasons"))
+
+
+@query
+def compact_events(spark, d):
+    """Events stored in two batches, rewritten in order of their key."""
+    source, target = scratch_path(spark, "batches"), scratch_path(spark, "compact")
+    ev = sales_events(spark, d)
+    for name, rows in (("a", ev.filter("units_sold < 20")), ("b", ev.filter("units_sold >= 20"))):
+        lake.append_batch(rows, source, name)
+    lake.compact(spark, source, target, EVENT_KEY)
+    return spark.read.parquet(target).select(*ev.columns)
+
+
+@query
+def history_csv(spark, d):
+    """Events exported as CSV in order of their key and read back as sales history."""
+    path = scratch_path(spark, "history")
+    ev = sales_events(spark, d)
+    columns = {"date": "event_date", **{c: c for c in files.HISTORY_CSV.names[1:]}}
+    files.write_csv(ev.select(*[F.col(c).cast(files.HISTORY_CSV[n].dataType).alias(n) for n, c in columns.items()]), path, ["date", "product_category"])
+    return files.read_history_csv(spark, path)
+
+
+@query
+def inferred_csv(spark, d):
+    """Daily totals exported as CSV and read back with types found from the text."""
+    path = scratch_path(spark, "daily-csv")
+    daily = _daily(spark, d)
+    files.write_csv(daily.select("event_date", "product_category", "daily_units"), path)
+    return files.read_csv_inferred(spark, path)
+
+
 # ---- aggregates and windows ------------------------------------------------------------------
 
 @query
@@ -614,7 +662,7 @@ def fact_lines(spark, d):
     series = _stored_series(spark, d)
     forecast = naive.seasonal_naive_forward(series)
     return facts.fact_lines(facts.yoy_trend(series), facts.forecast_yoy(forecast, series),
-                            materialize(_metrics(series), "metrics"), "seasonal_naive", BASELINE_LABELS)
+                            materialize(_metrics(series), "metrics"), "seasonal_naive", BASELINE_LABELS, BASELINE_ORDER)
 
 
 # ---- dashboard tables ------------------------------------------------------------------------
