@@ -750,7 +750,7 @@ def _published(spark: SparkSession, d: str, per_file: bool) -> str:
     path = scratch_path(spark, "messages")
     sent = messages.to_messages(sales_events(spark, d))
     if per_file:
-        sent = sent.hint("rebalance", F.year("ingested_at"))
+        sent = sent.withColumn("_year", F.year("ingested_at")).hint("rebalance", "_year").drop("_year")
     messages.write_messages(sent, path)
     return path
 

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from demandspark.operators import clean, dedupe
+from demandspark.operators import clean, dedupe, upsert
 from tests.conftest import rows_of
 
 RAW = ("id bigint, event_date string, product_category string, store_region string, units_sold int, "
@@ -112,3 +112,11 @@ def test_packed_order_equals_struct_order(spark):
             key = lambda x: (x[1] is not None, x[1] or datetime.min, x[2] is not None, x[2] or 0)
             best = min(map(key, mine)) if first else max(map(key, mine))
             assert (r.k, r.t, r.id, r.v) in [x for x in mine if key(x) == best]
+
+
+def test_null_key_parts_are_equal(events):
+    rows = [(1, 1, "A", None, 5, 1), (2, 1, None, "N", 7, 2)]
+    stored = events(*rows)
+    assert dedupe.dedupe_first(events(*rows, (3, 1, None, None, 1, 3)), stored).count() == 1
+    again = upsert.upsert_newer(stored, stored)
+    assert again.count() == 2 and upsert.upsert_metrics(stored, stored).first().unchanged == 2

@@ -163,3 +163,28 @@ def test_whole_forecast_stage(series, tmp_path, spark):
     stored = spark.read.parquet(str(tmp_path / "forecast"))
     assert stored.count() == 180 and {r.model_name for r in stored.select("model_name").distinct().collect()} == {"trend_season"}
     assert out.long.count() == 2 * (180 + 90 + 90)
+
+
+def test_series_that_lack_tuning_or_history_stay(series, spark):
+    s = series({"LONG": wave(1000), "SHORT": wave(60)})
+    chosen = spark.createDataFrame([("LONG", 0.5)], "product_category string, flexibility double")
+    ahead = trend.forecast_forward(s, chosen=chosen).groupBy("product_category").agg(F.count("yhat").alias("n"))
+    assert rows_of(ahead, "product_category", "n") == [("LONG", 90), ("SHORT", 90)]
+    backtest = trend.trend_season(s, chosen=chosen)  # SHORT has no day before the holdout
+    assert {r.product_category for r in backtest.select("product_category").distinct().collect()} == {"LONG"}
+    status = {r.product_category: r for r in trend.forecast_series_status(s, chosen).collect()}
+    assert (status["LONG"].flexibility, status["LONG"].reason, status["LONG"].has_backtest) == (0.5, "tuned", True)
+    assert (status["SHORT"].flexibility, status["SHORT"].has_backtest) == (0.05, False)
+
+
+def test_long_horizons_are_refused(series):
+    s = series({"A": wave(800)})
+    for forward in (trend.forecast_forward, naive.seasonal_naive_forward):
+        with pytest.raises(ValueError):
+            forward(s, horizon=120)
+
+
+def test_series_codes_tell_many_series_apart(spark):
+    names = spark.range(5000).select(F.concat(F.lit("s"), "id").alias("product_category")).withColumns(tree._series_codes())
+    assert names.select(*tree.SERIES_CODES).distinct().count() == 5000
+    assert len(tree.SERIES_CODES) == 3

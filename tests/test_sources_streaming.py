@@ -125,3 +125,11 @@ def test_stream_equals_batch_for_any_batch_size(spark, tmp_path):
 def test_insert_ignore_keeps_the_first(events):
     ev = events((1, 1, "A", "N", 5, 3), (2, 1, "A", "N", 7, 2))
     assert keep_first(ev).first().id == 2
+
+
+def test_bad_messages_without_quarantine_fail(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.createDataFrame([("k", "not json")], "key string, value string").write.parquet(path)
+    stream = spark.readStream.schema("key string, value string").parquet(path)
+    with pytest.raises(Exception, match="quarantine"):
+        run_available(ingest_stream(stream, str(tmp_path / "table"), str(tmp_path / "checkpoint")))
