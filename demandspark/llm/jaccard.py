@@ -80,19 +80,16 @@ def _ask(batches: Iterator[pa.RecordBatch], fragments: int, size: int) -> Iterat
         known_part = fragment_of(known, fragments)
         own_part = fragment_of(nodes.view(np.uint64), fragments)
         own_order = np.argsort(own_part, kind="stable")
-        edges = np.arange(fragments + 1)
-        asked_at, known_at = np.searchsorted(part, edges), np.searchsorted(known_part, edges)
-        own_at = np.searchsorted(own_part[own_order], edges)
+        mine = own_part[own_order]
+        present = np.unique(np.concatenate([part, known_part, mine]))
+        asked_at, known_at, own_at = ([np.searchsorted(x, present, side).tolist() for side in ("left", "right")] for x in (part, known_part, mine))
         rows = []
-        for f in range(fragments):
-            a, b = asked_at[f], asked_at[f + 1]
-            k, m = known_at[f], known_at[f + 1]
-            o = own_order[own_at[f]:own_at[f + 1]]
-            if a == b and k == m and not len(o):
-                continue
+        for k, f in enumerate(present.tolist()):
+            a, b = asked_at[0][k], asked_at[1][k]
+            o = own_order[own_at[0][k]:own_at[1][k]]
             cut = np.flatnonzero(np.diff(owner[a:b], prepend=-1))
             rows.append((f, nodes[owner[a:b][cut]].tobytes(), np.diff(cut, append=b - a).astype(np.int32).tobytes(),
-                         hashes[a:b].tobytes(), known[k:m].tobytes(),
+                         hashes[a:b].tobytes(), known[known_at[0][k]:known_at[1][k]].tobytes(),
                          np.stack([nodes[o], least[o], lengths[o], n_known[o]]).astype(np.int64).tobytes()))
         names, kinds = ["fragment", "nodes", "counts", "asked", "known", "own"], [pa.int32()] + [pa.binary()] * 5
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
@@ -233,11 +230,14 @@ def _find_links(sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def similar_components(docs: DataFrame, size: int = 5, threshold: int = 80, id_column: str = "doc_id",
-                       text_column: str = "text") -> DataFrame:
-    """Per row: id, ``n_shingles`` and ``component_id``, the smallest id reachable over links (``threshold`` percent)."""
+                       text_column: str = "text", fragment_bytes: int = FRAGMENT_BYTES) -> DataFrame:
+    """Per row: id, ``n_shingles`` and ``component_id``, the smallest id reachable over links (``threshold`` percent).
+
+    A task of step 1 holds the n-grams of ``fragment_bytes`` of text; with large executors larger fragments mean fewer partitions.
+    """
     docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), text_class(text_column).alias("node"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    fragments = max(1, -(-total // FRAGMENT_BYTES))
+    fragments = max(1, -(-total // fragment_bytes))
     rows = docs.select("doc_id", "node", F.col("text").cast("binary").alias("text"))
     asked = rows.where("node is not null").mapInArrow(partial(_ask, fragments=fragments, size=size), _ASKED)
     answers = asked.repartitionById(fragments, F.col("fragment")).mapInArrow(partial(_decide, fragments=fragments), "home int, texts binary")

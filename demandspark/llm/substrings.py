@@ -259,7 +259,8 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.set_column(batch.schema.get_field_index("kept_text"), "kept_text", pa.array(texts, pa.binary()))
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8, text_column: str = "text", keep_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8, text_column: str = "text", keep_text: bool = False,
+                   fragment_windows: int = FRAGMENT_WINDOWS) -> DataFrame:
     """Per row: ``rest`` (the other columns), n_words, n_removed, kept_sha256, factors, and with ``keep_text`` kept_text.
 
     ``factors`` are the parsed repeats (start, words, ref_text, ref_start) of rows whose text occurs in one row; where
@@ -285,7 +286,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8, text_column
 
     posted = stored.where("windows is not null").select("node", F.col("n_removed").isNull().alias("open"), "windows", "starts")
     count = posted.agg(F.sum(F.size("windows"))).first()[0] or 0
-    fragments = max(1, -(-count // FRAGMENT_WINDOWS))
+    fragments = max(1, -(-count // fragment_windows))
     answers = (posted.mapInArrow(partial(_ask, fragments=fragments), _ASKED).repartitionById(fragments, F.col("fragment"))
                .mapInArrow(partial(_answer, fragments=fragments), "home int, runs binary"))
     found = answers.repartitionById(fragments, F.col("home")).mapInArrow(_gather, "node long, found binary")

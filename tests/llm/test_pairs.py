@@ -45,6 +45,15 @@ def test_components_equal_brute_force(docs):
     assert got == brute_components(rows)
 
 
+def test_many_fragments(docs):
+    rows = near_copies() + odd_rows()
+    got = sorted(map(tuple, jaccard.similar_components(docs(*rows), fragment_bytes=3000).collect()), key=str)
+    assert got == brute_components(rows)
+    rows = shared_passages() + odd_rows()
+    got = substrings.remove_repeats(docs(*rows), fragment_windows=500).select("rest.doc_id", "n_words", "n_removed", "kept_sha256")
+    assert sorted(map(tuple, got.collect()), key=str) == brute_repeats(rows, 35)
+
+
 def test_components_of_odd_rows(docs, spark):
     rows = odd_rows()
     got = sorted(map(tuple, jaccard.similar_components(docs(*rows)).collect()), key=str)
