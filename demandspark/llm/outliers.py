@@ -27,7 +27,9 @@ from ..session import materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
 VECTOR = ["x1", "x2", "x3", "x4", "x5"]
-FLOORS = [0.35, 0.12, 0.5, 0.6, 0.06]   # least standard deviations, in transformed units
+# Least standard deviations, in transformed units. Repeated words have a base rule of their own: its limit, a fifth of the
+# words, lies at four and a half of these spreads.
+FLOORS = [0.35, 0.12, 0.5, 0.6, 0.1]
 CUTOFF = 20.515                          # fixed value: chi-square with 5 degrees of freedom, 0.999
 FITS = 12.833                            # fixed value: the same at 0.975, for the last estimate
 CORE_FACTOR = 1.41                       # fixed value: consistency of the covariance of the nearest three quarters in 5 dimensions
