@@ -161,14 +161,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: dict) -> Iterator[pa.RecordBatch]:
-    for batch in blocks(batches, limit=SLICE_BYTES):
-        texts = [t or b"" for t in batch["text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["rest"], pa.array(probability(texts, model))], ["rest", "score"])
+    for batch in batches:
+        text = batch["rest"].field("text").cast(pa.binary())  # a view; the text is not sent twice
+        for part in blocks([pa.RecordBatch.from_arrays([batch["rest"], text], ["rest", "text"])], limit=SLICE_BYTES):
+            scores = probability([t or b"" for t in part["text"].to_pylist()], model)
+            yield pa.RecordBatch.from_arrays([part["rest"], pa.array(scores)], ["rest", "score"])
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """All columns of ``docs`` in the struct ``rest``, and ``score``."""
-    rows = docs.select(F.struct("*").alias("rest"), F.col("text").cast("binary").alias("text"))
+    rows = docs.select(F.struct("*").alias("rest"))
     kind = rows.select("rest", F.lit(0.0).alias("score")).schema
     return rows.mapInArrow(partial(_score, model=model), kind)
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import suppress
 from pathlib import Path
 
 import numpy as np
@@ -82,7 +85,15 @@ def fragment_of(hashes: np.ndarray, fragments: int) -> np.ndarray:
     return part.astype(np.uint16 if fragments < 65536 else np.int32)
 
 
-BLOCK_BYTES = 8 << 20
+def release() -> None:
+    """Give freed memory back to the system, so that a worker that waits for its next task holds little."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+BLOCK_BYTES = 4 << 20
 
 
 def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -97,6 +108,8 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
+        del batch
+        release()
 
 
 def text_class(text: str = "text"):

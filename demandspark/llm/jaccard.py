@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import blocks, components, fragment_of, hash_windows, hash_words, split_words, text_class
+from .common import blocks, components, fragment_of, hash_windows, hash_words, release, split_words, text_class
 
 FRAGMENT_BYTES = 16 << 20   # text per fragment of step 1; a fragment's n-grams fit in one task
 OVERLAP_FRAGMENTS = 8       # fragments of the frequency order for the overlap counts
@@ -97,6 +97,7 @@ def _ask(batches: Iterator[pa.RecordBatch], fragments: int, size: int) -> Iterat
 
 def _decide(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterator[pa.RecordBatch]:
     """One fragment: how many of the asked n-grams of each text occur in another text, gathered by the texts' home fragments."""
+    release()
     asked, nodes, known, own = [], [], [], []
     for batch in batches:
         for row in zip(*(batch[c].to_pylist() for c in ("nodes", "counts", "asked", "known", "own")), strict=True):
@@ -107,9 +108,12 @@ def _decide(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterator[pa.Re
     if not own:
         return
     node, hashes, told = np.concatenate(nodes), np.concatenate(asked), np.unique(np.concatenate(known))
-    del nodes, asked, known
+    del nodes, asked, known, batch, row
     order = np.argsort(hashes)
-    ranked, owner = hashes[order], node[order]
+    ranked = hashes[order]
+    del hashes
+    owner = node[order]
+    del node, order
     shared = np.zeros(len(ranked), bool)
     if len(ranked):
         starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
@@ -126,7 +130,9 @@ def _decide(batches: Iterator[pa.RecordBatch], fragments: int) -> Iterator[pa.Re
     rows, home = rows[:, order], home[order]
     homes, at = np.unique(home, return_index=True)
     parts = [p.tobytes() for p in np.split(rows, at[1:], axis=1)] if len(homes) else []
+    del ranked, owner, shared
     yield pa.RecordBatch.from_arrays([pa.array(homes.astype(np.int32)), pa.array(parts, pa.binary())], ["home", "texts"])
+    release()
 
 
 def _total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -50,7 +50,7 @@ class Pieces(dict):
     When it is full, pieces that have not been met since it was last full are forgotten.
     """
 
-    LIMIT = 400_000
+    LIMIT = 120_000
 
     def __init__(self, tokenizer: Tokenizer, before: str):
         self.tokenizer, self.before = tokenizer, before
