@@ -18,7 +18,7 @@ def metric_key(key: Column) -> Column:
     A longer key keeps its beginning and ends in a hash of the whole, so that different keys stay different.
     """
     plain = F.regexp_replace(key, r"[^0-9A-Za-z_\-. /]", "_")
-    return F.when(F.length(plain) <= 250, plain).otherwise(F.concat(F.substring(plain, 1, 217), F.lit("-"), F.md5(key)))
+    return F.when(F.length(plain) <= 250, plain).otherwise(F.concat(F.substring(plain, 1, 233), F.lit("-"), F.lpad(F.hex(F.xxhash64(key)), 16, "0")))
 
 
 def format_thousands(value: Column, decimals: int = 0) -> Column:
