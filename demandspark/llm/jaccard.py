@@ -32,10 +32,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import blocks, components, fragment_of, hash_windows, hash_words, release, split_words, text_class
+from .common import WORD, blocks, components, fragment_of, hash_windows, hash_words, release, split_words, text_class
 
 FRAGMENT_BYTES = 16 << 20   # text per fragment of step 1; a fragment's n-grams fit in one task
 OVERLAP_FRAGMENTS = 8       # fragments of the frequency order for the overlap counts
+SALTS = 32                  # tasks that the rows of one id and text are dealt to
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -235,13 +236,8 @@ def _find_links(sets: DataFrame, threshold: int) -> DataFrame:
     return components(links.union(more))
 
 
-def similar_components(docs: DataFrame, size: int = 5, threshold: int = 80, id_column: str = "doc_id",
-                       text_column: str = "text", fragment_bytes: int = FRAGMENT_BYTES) -> DataFrame:
-    """Per row: id, ``n_shingles`` and ``component_id``, the smallest id reachable over links (``threshold`` percent).
-
-    A task of step 1 holds the n-grams of ``fragment_bytes`` of text; with large executors larger fragments mean fewer partitions.
-    """
-    docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), text_class(text_column).alias("node"))
+def _named_texts(docs: DataFrame, size: int, threshold: int, fragment_bytes: int) -> DataFrame:
+    """(node, n, first_id, component) per distinct text of ``docs`` (doc_id, text, node): its smallest id, and the node that names its component."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     fragments = max(1, -(-total // fragment_bytes))
     rows = docs.select("doc_id", "node", F.col("text").cast("binary").alias("text"))
@@ -260,7 +256,17 @@ def similar_components(docs: DataFrame, size: int = 5, threshold: int = 80, id_c
     labels = _find_links(sets, threshold)
 
     named = texts.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = materialize(named.select("node", "n", "first_id", "component"), "ngram-named")
+    return materialize(named.select("node", "n", "first_id", "component"), "ngram-named")
+
+
+def similar_components(docs: DataFrame, size: int = 5, threshold: int = 80, id_column: str = "doc_id",
+                       text_column: str = "text", fragment_bytes: int = FRAGMENT_BYTES) -> DataFrame:
+    """Per row: id, ``n_shingles`` and ``component_id``, the smallest id reachable over links (``threshold`` percent).
+
+    A task of step 1 holds the n-grams of ``fragment_bytes`` of text; with large executors larger fragments mean fewer partitions.
+    """
+    docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), text_class(text_column).alias("node"))
+    named = _named_texts(docs, size, threshold, fragment_bytes)
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_text = named.join(least, "component").select("node", "n", "component_id")
     return (docs.select("doc_id", "node").join(by_text, "node", "left")
@@ -269,14 +275,31 @@ def similar_components(docs: DataFrame, size: int = 5, threshold: int = 80, id_c
 
 
 def one_per_component(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
-    """The row with the smallest id of each component, with all its columns.
+    """One row of each component, with all its columns: that with the smallest id; one without an id only if none has one.
 
-    Of several rows with that id one stays; rows without an id stay unless they link with a row that has one.
+    Components are told apart by their texts, so unrelated texts under one id all stay, and of linked ones under one id one
+    stays. Rows without words link with nothing: they stay, repeated rows (equal id and text) once if they have an id.
+    Of rows equal in id and text the one whose other columns come first stays.
     """
-    chosen = similar_components(docs, size, threshold).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = materialize(chosen.groupBy(F.col("doc_id").alias("_chosen")).agg(F.count("*").alias("_rows")), "ngram-chosen")
-    chosen = chosen.withColumn("_rows", F.when(F.col("_chosen").isNull(), 1).otherwise(F.col("_rows")))
+    words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    single = F.col("doc_id").isNotNull() | words  # the others stay as they are
+    pair = [F.col("doc_id").cast("long").alias("_id"), text_class().alias("_node")]
+    named = _named_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_class().alias("node")), size, threshold, FRAGMENT_BYTES)
+    first = (named.where("n > 0").groupBy("component").agg(F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "node")).alias("c"))
+             .select(F.col("c.first_id").alias("_id"), F.col("c.node").alias("_node")))
+    pairs = docs.where(single).select(*pair, words.alias("_words")).groupBy("_id", "_node", "_words").agg(F.count("*").alias("_rows"))
+    chosen = pairs.where("_words").join(first, pairs["_id"].eqNullSafe(first["_id"]) & (pairs["_node"] == first["_node"]), "left_semi")
+    chosen = materialize(chosen.union(pairs.where("not _words")).select("_id", "_node", "_rows"), "ngram-chosen")
+    rows = docs.where(single).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *pair,
+                                     F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("_salt"))
+
+    def same(other: DataFrame) -> Column:
+        return rows["_id"].eqNullSafe(other["_id"]) & rows["_node"].eqNullSafe(other["_node"])
     once, again = chosen.where("_rows = 1"), chosen.where("_rows > 1")
-    same = docs.doc_id.eqNullSafe(F.col("_chosen"))
-    kept = docs.join(once, same, "left_semi")
-    return kept if again.isEmpty() else kept.union(docs.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    kept = rows.join(once, same(once), "left_semi").select("row.*").union(docs.where(~single))
+    if again.isEmpty():
+        return kept
+    again = again.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))  # a pair may have very many rows
+    others = F.to_json(F.struct(*[F.col(f"row.`{c}`") for c in docs.columns if c != "text"]))
+    repeated = rows.join(again, same(again) & (rows["_salt"] == again["_salt"]), "left_semi")
+    return kept.union(repeated.groupBy("_id", "_node").agg(F.min_by("row", others).alias("row")).select("row.*"))

@@ -68,6 +68,35 @@ def test_one_per_component(docs):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 3, None, None]
 
 
+def check_one_per_component(docs, rows):
+    """Against brute force: one row of each group of linked rows, with its smallest id; wordless rows stay."""
+    texts = sorted({t for _, t in rows if t and t.split()})
+    group = {t: c for t, (_, _, c) in zip(texts, sorted(brute_components(list(enumerate(texts)))), strict=True)}
+    members, expected = {}, Counter()
+    for i, t in rows:
+        if t in group:
+            members.setdefault(group[t], []).append((i, t))
+        else:
+            expected[i, t] = 1 if i is not None else expected[i, t] + 1
+    kept = Counter((r.doc_id, r.text) for r in jaccard.one_per_component(docs(*rows)).collect())
+    for rows_of_one in members.values():
+        ids = [i for i, _ in rows_of_one if i is not None]
+        stay = [(i, t) for i, t in kept.elements() if (i, t) in rows_of_one and t in group]
+        assert len(stay) == 1 and stay[0][0] == (min(ids) if ids else None)
+        expected[stay[0]] += 1
+    assert kept == expected
+
+
+def test_one_per_component_with_null_and_repeated_ids(docs):
+    a, near = prose(1, 50), prose(1, 50) + " end"
+    check_one_per_component(docs, [(None, prose(4, 50)), (1, a), (None, near), (None, a)])       # a null id linked with an id goes
+    check_one_per_component(docs, [(None, a), (None, near), (None, near), (None, prose(3, 50))])  # near copies without ids
+    check_one_per_component(docs, [(5, prose(6, 50)), (5, prose(7, 50)), (8, prose(6, 50))])      # unrelated texts under one id
+    check_one_per_component(docs, [(5, a), (5, prose(7, 50)), (2, near), (5, near)])              # one of them linked with a smaller id
+    draw = random.Random(7)
+    check_one_per_component(docs, [(draw.choice([None, None, i, i % 40]), t) for i, t in near_copies()] + odd_rows() + [(2, ""), (2, " "), (None, None), (None, "")])
+
+
 def test_star_and_chain_components(spark):
     edges = [(0, k) for k in range(1, 200)] + [(k, k + 1) for k in range(1000, 1060)] + [(5, 5)]
     found = dict(common.components(spark.createDataFrame(edges, "a long, b long")).collect())
