@@ -8,9 +8,9 @@ For neighbours in the order of ids, documents are dealt into ranges of ids of ab
 document of a range also goes to the range before it (that of the first range to the last one), so each range can be
 worked through on its own, one document at a time.
 
-Near duplicates are found among distinct fingerprints, partitioned by set length: sets more than the threshold apart in
-length never meet, and within reach the Jaccard similarity is only computed for pairs that share one of their rarest
-signatures (the stars and residual comparisons of the n-gram join).
+Near duplicates are found among distinct fingerprints: the Jaccard similarity is only computed for pairs that share one of
+their rarest signatures (the stars and residual comparisons of the n-gram join), and not for sets more than the threshold
+apart in length. Nothing is partitioned by set length.
 
 Null text counts as empty; a text without words has an empty fingerprint, equal to other empty ones (likeness 1) and
 unlike all others (0). Rows with one id are ordered by a hash of their text; rows without an id come last. A single row is
