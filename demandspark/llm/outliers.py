@@ -9,7 +9,7 @@ A step is one aggregate: rows are counted and summed (values and products) by gr
 distance, and whole classes are taken from the nearest on until they hold the core. Rows of a group never meet in one
 task, however many they are, and partial sums are combined before the shuffle.
 
-Groups of fewer than ``least_rows`` rows are estimated together with the other small groups of their language, small
+Only rows that pass the base rules enter estimates. Groups of fewer than ``least_rows`` such rows are estimated together with the other small groups of their language, small
 languages together with each other; a pool that is still too small rejects nothing. Spreads that are zero in a clean
 group (no symbols at all, say) are held up by ``FLOORS``, so that a single odd character is no outlier.
 
@@ -77,7 +77,7 @@ def vectors(stats: DataFrame) -> DataFrame:
 def _grouped(rows: DataFrame, least_rows: int) -> DataFrame:
     """Adds ``pool``: language and source, or the pool that a small group belongs to; null where nothing can be estimated."""
     mark = lambda c: F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-"))
-    sizes = rows.groupBy("lang", "source").agg(F.count("*").alias("rows"))
+    sizes = rows.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("rows"))
     small = F.col("rows") < least_rows
     by_lang = Window.partitionBy("lang", small)
     sizes = sizes.withColumn("lang_rows", F.sum("rows").over(by_lang))  # a row for each source, not for each document

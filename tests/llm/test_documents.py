@@ -117,6 +117,14 @@ def test_outliers_go_and_clean_rows_stay(docs):
     assert not any(kept[1000 + k] for k in range(40)) and sum(kept[k] for k in range(400)) >= 392
 
 
+def test_small_groups_count_usable_rows_only(docs):
+    rows = [(k, prose(k, 60 + k % 90)) for k in range(40)] + [(100 + k, "few words") for k in range(40)]
+    frame = docs(*rows).withColumn("lang", F.lit("en")).withColumn("source", F.lit("s"))
+    got = outliers.quality_verdicts(frame).collect()  # 80 rows, but 40 to estimate from
+    assert all(r.distance is None and r.kept == (r.doc_id < 100) for r in got)
+    assert all(r.distance is not None for r in outliers.quality_verdicts(frame, least_rows=40).collect())
+
+
 def test_outliers_of_odd_rows(docs):
     got = outliers.quality_verdicts(docs(*odd_rows())).collect()
     assert len(got) == len(odd_rows()) and all(r.base_failed != r.kept for r in got)  # too few rows: nothing is estimated
