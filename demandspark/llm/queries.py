@@ -9,7 +9,7 @@ from corpus_pipeline import run
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bytenet, jaccard, mixing, outliers, packing, spots, substrings, toxicity, urlrules, warc
+from . import bytenet, dsir, jaccard, minhash, mixing, outliers, packing, spots, structure, substrings, toxicity, urlrules, warc
 from .common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,24 @@ def op10_quality_bytenet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytenet.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), bytenet.remainder(4) == 2)
 
 
+@query
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size, component and verdict of each document; links at a Jaccard similarity of 0.85 on five-word shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), threshold=85)
+
+
+@query
+def op12_dsir(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance weight, score and rank of each document; the quarter most like the benchmark texts is drawn."""
+    return dsir.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of each damaged conversation, its cheapest repair and the repair's digest."""
+    return structure.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over ``documents``."""
