@@ -16,6 +16,8 @@ An empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -24,6 +26,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,66 +38,47 @@ END = 1              # id behind each document
 BLOCK_BYTES = 4 << 20
 
 
-class _Unsafe(Exception):
-    """White space other than single spaces between words."""
-
-
+# Fixed value: how byte-level vocabularies cut text before merging.
+_CUTS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_UNUSUAL = re.compile("[^\\t\\n\\r\\x20-\\x7e\u00c0-\u024f]")  # other characters may be classed differently by another library
+_LONG_RUN = re.compile(r"\S{4096}|\s{4096}")
+_LONG = 1 << 16
 # Characters that stand for bytes in byte-level vocabularies: printable ones for themselves, the others from 256 on.
 _SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
-_BYTES = {b: chr(b) for b in _SHOWN} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
-
-
-class Pieces(dict):
-    """Ids of a piece of text between single spaces. A token never holds text from both sides of such a space.
-
-    When it is full, pieces that have not been met since it was last full are forgotten.
-    """
-
-    LIMIT = 120_000
-
-    def __init__(self, tokenizer: Tokenizer, before: str):
-        self.tokenizer, self.before = tokenizer, before
-        self.tokenize = tokenizer.model.tokenize
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, piece: str) -> bytes:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise _Unsafe
-        if len(self) >= self.LIMIT:
-            self.older = dict(self)
-            self.clear()
-        value = self.older.get(piece)
-        if value is None:
-            word = piece.rstrip(".,;:!?")
-            if self.before and word.isalpha():  # one group of letters, and one of the marks behind it
-                ids = [t.id for t in self.tokenize("Ġ" + word.encode().decode("latin-1").translate(_BYTES))]
-                if len(word) < len(piece):
-                    ids += [t.id for t in self.tokenize(piece[len(word):])]
-            else:
-                ids = self.tokenizer.encode(self.before + piece, add_special_tokens=False).ids
-            value = np.array(ids, "<u4").tobytes()
-        self[piece] = value
-        return value
+_BYTES = {chr(b): b for b in _SHOWN} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+
+
+def _plain_merges(stated: dict) -> tuple[dict[bytes, int], dict[str, int]] | None:
+    """Ids by token, and by special token, of a byte-level vocabulary whose ids ascend in the order of its merges; else None."""
+    model, cut, special = stated["model"], stated["pre_tokenizer"] or {}, {t["content"]: t["id"] for t in stated["added_tokens"]}
+    plain = (model.get("type") == "BPE" and cut.get("type") == "ByteLevel" and cut.get("use_regex") and not cut.get("add_prefix_space")
+             and not stated["normalizer"] and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+             and not any(t[k] for t in stated["added_tokens"] for k in ("single_word", "lstrip", "rstrip")))
+    if not plain:
+        return None
+    vocabulary = {t: k for t, k in model["vocab"].items() if t not in special}
+    made = [vocabulary.get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in model["merges"]]
+    if made != sorted(set(made)) or len(made) + 256 != len(vocabulary) or any(c not in _BYTES for t in vocabulary for c in t):
+        return None
+    return {bytes(_BYTES[c] for c in t): k for t, k in vocabulary.items()}, special
 
 
 class Encoder:
+    """Ids of a text by the vocabulary file. Texts of usual characters take a quicker library where the vocabulary allows it; ids are the same."""
+
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.first, self.later = Pieces(self.tokenizer, ""), Pieces(self.tokenizer, " ")
+        merges = _plain_merges(json.loads(self.tokenizer.to_str()))
+        self.quick = merges and tiktoken.Encoding("byte-level", pat_str=_CUTS, mergeable_ranks=merges[0], special_tokens=merges[1])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith((".", "!", "?", "Ċ"))
 
-    def ids(self, text: str) -> bytes:
-        if not text:
-            return b""
-        pieces = text.split(" ")
-        try:
-            return self.first[pieces[0]] + b"".join(map(self.later.__getitem__, pieces[1:]))
-        except _Unsafe:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def ids(self, text: str) -> np.ndarray:
+        if not self.quick or _UNUSUAL.search(text) or len(text) > _LONG and _LONG_RUN.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return self.quick.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype("<u4", copy=False)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -165,13 +149,16 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str | None, name: str, size:
     sequence = TaskContext.get().partitionId() << 33
     held: list[tuple] = []  # (doc_id, ids of the document before these, all ids of the document, ids)
 
-    def windows(chunks: list[tuple], last: bool):
-        """The pieces of the final windows of ``chunks``; what is left goes to ``held``."""
+    def windows(chunks: list[tuple], last: bool) -> Iterator[pa.RecordBatch]:
+        """The pieces of the final windows of ``chunks``, if any; what is left goes to ``held``."""
         nonlocal sequence, held
         stream = np.concatenate([c[3] for c in chunks])
         ends = np.cumsum([len(c[3]) for c in chunks])
         at, penalty = cut_points(stream, ends, coder.ends, size, stride, sentence_penalty, inner_penalty)
         cuts = np.array([0, *best_cuts(at, penalty, size, last)])
+        if len(cuts) == 1:  # all of it fits into a window that is still open
+            held = chunks
+            return
         starts = np.concatenate([[0], ends[:-1]])
         edges = np.union1d(cuts, starts)
         edges = edges[edges < cuts[-1]]
@@ -187,16 +174,16 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str | None, name: str, size:
         rest = int(np.searchsorted(ends, cuts[-1], side="right"))
         held = [(d, n + max(0, int(cuts[-1] - starts[rest + k])), total, ids[max(0, int(cuts[-1] - starts[rest + k])):])
                 for k, (d, n, total, ids) in enumerate(chunks[rest:])]
-        return pa.RecordBatch.from_arrays([c.cast(pa.int64()) for c in columns], _NAMES)
+        yield pa.RecordBatch.from_arrays([c.cast(pa.int64()) for c in columns], _NAMES)
 
     for batch in blocks(batches, limit=BLOCK_BYTES):
         chunks = list(held)
         for doc, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            ids = np.append(np.frombuffer(coder.ids(text.decode()) if text else b"", "<u4"), np.uint32(END))
+            ids = np.append(coder.ids(text.decode()) if text else np.empty(0, "<u4"), np.uint32(END))
             chunks.append((doc, 0, len(ids), ids))
-        yield windows(chunks, False)
+        yield from windows(chunks, False)
     if held:
-        yield windows(held, True)
+        yield from windows(held, True)
 
 
 def pack(docs: DataFrame, size: int = 2048, tokenizer: str = "byte_bpe_50k.json", tokenizer_path: str | None = None, stride: int = 128,

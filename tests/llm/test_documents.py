@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -17,7 +18,6 @@ from .conftest import odd_rows, prose
 
 def check_pieces(rows, pieces, size):
     coder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    coder.encode_special_tokens = True
     expected = Counter()
     for i, text in rows:
         ids = np.array(coder.encode(text or "", add_special_tokens=False).ids + [1], "<u4")
@@ -43,6 +43,35 @@ def test_packing_round_trip(docs):
     assert packing.pack(docs(*rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_packing_of_short_partitions(docs, parts):
+    """Partitions below one window, a short last block, null and empty texts, and a count that is a power of two."""
+    short = [(1, "a few words"), (2, None), (3, ""), (4, "x <|endoftext|> y"), (5, "tab\there \u2028 \x85 \x1c end"), (None, "no id")]
+    for rows in (short[:1], short, short + [(k, prose(k, 700)) for k in range(10, 22)] + [(30, "tail")]):
+        check_pieces(rows, packing.pack(docs(*rows).repartition(parts)).collect(), 2048)
+
+
+def test_packing_with_a_short_last_block(docs, monkeypatch):
+    from demandspark.llm import common
+    coder = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    batches = [(k, prose(k, n)) for k, n in enumerate((3000, 3, 2, 1, 2500, 1))]
+    data = pa.RecordBatch.from_arrays([pa.array([k for k, _ in batches]), pa.array([t.encode() for _, t in batches], pa.binary())], ["doc_id", "text"])
+    monkeypatch.setattr(packing, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(packing.TaskContext, "get", staticmethod(lambda: type("Task", (), {"partitionId": lambda self: 0})()))
+    found = list(packing._pack(iter([data]), None, "byte_bpe_50k.json", 2048, 128, 2, 8))
+    assert sum(sum(b["length"].to_pylist()) for b in found) == sum(len(coder.ids(t)) + 1 for _, t in batches)
+    assert common.BLOCK_BYTES
+
+
+def test_encoder_equals_the_vocabulary_library(spark):
+    coder = packing.encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    odd = ["a <|endoftext|> b", "<|endoftext|>", " \r\n\t x", "it's we'll I'M", "ÀÿŒ ×÷ ɏ", "日本 ٣٤ ½ \x0b\x0c\x1f", "a" * 70_000, " " * 70_000 + "b", "12,5 %%%"]
+    assert coder.quick
+    for text in [t for t in texts if t] + odd:
+        assert coder.ids(text).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_dynamic_program_is_optimal():
     draw = np.random.default_rng(4)
     for _ in range(30):
