@@ -73,9 +73,26 @@ def pool(half: np.ndarray, halves: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return chunk[keep], np.concatenate([[0], np.cumsum(counts)[:-1]]), counts
 
 
-def document_vectors(texts: list[bytes], model: dict) -> np.ndarray:
+def strongest(texts: list[bytes], model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Strongest response of each filter by half chunk, and the number of half chunks of each text."""
     steps, halves = lay_out(texts)
-    half = respond(steps, halves, model).reshape(-1, HALF, FILTERS).max(axis=1)
+    return respond(steps, halves, model).reshape(-1, HALF, FILTERS).max(axis=1), halves
+
+
+def strongest_in_slices(text: bytes, model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """The same for one long text, a slice at a time; a slice also sees the half chunk behind it."""
+    size, at_once = STEP * HALF, SLICE_BYTES // (STEP * HALF)
+    count = -(-len(text) // size)
+    half = np.empty((count, FILTERS), np.float32)
+    for start in range(0, count, at_once):
+        stop = min(count, start + at_once)
+        half[start:stop] = strongest([text[start * size:(stop + 1) * size]], model)[0][:stop - start]
+    return half, np.array([count])
+
+
+def document_vectors(texts: list[bytes], model: dict) -> np.ndarray:
+    long = len(texts) == 1 and len(texts[0]) > SLICE_BYTES  # blocks hold a longer text alone
+    half, halves = strongest_in_slices(texts[0], model) if long else strongest(texts, model)
     chunk, starts, counts = pool(np.maximum(half + model["bias"], 0), halves)
     return np.concatenate([np.add.reduceat(chunk, starts) / counts[:, None], np.maximum.reduceat(chunk, starts)], axis=1)
 

@@ -9,8 +9,9 @@ the hash chooses the partition and orders the rows within it.
 Without ``weights`` a source's weight is its size to the power ``temperature`` (1: as it is, 0: all equal). A source
 that ``weights`` doesn't name has weight 0 and leaves the mixture.
 
-Null source: a source of its own. Null text: no bytes. A source without bytes has rate 0. Null id: hashed as the empty
-text. Repeated rows: the same draw each. An empty table gives an empty result. All columns of ``docs`` are kept under
+Null source: a source of its own. Null text: no bytes. A source without bytes has rate 0. Rows without an id are numbered
+in the order of their content and draw by their number, so each draws on its own. Repeated rows with an id: the same draw
+each. An empty table gives an empty result. All columns of ``docs`` are kept under
 their names; ``mix_copies``, ``mix_copy`` and ``mix_key`` are added and replace columns of those names.
 """
 
@@ -21,6 +22,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.indexing import with_row_index
 from ..session import materialize
 
 
@@ -58,15 +60,27 @@ def poisson(u: Column, rate: Column) -> Column:
     return F.when(rate > 0, F.aggregate(F.sequence(F.lit(0), last), start, add, lambda s: s["n"])).otherwise(0)
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """(row, name): the id as text; rows without one are numbered in the order of their content, equal rows in any order."""
+    own = F.col("row.doc_id").cast("string")
+    nameless = rows.where(own.isNull())
+    named = rows.withColumn("name", own)
+    if nameless.isEmpty():
+        return named
+    content = nameless.select("row", F.xxhash64("row.text").alias("_text"), F.md5(F.to_json("row")).alias("_all"), F.monotonically_increasing_id().alias("_row"))
+    numbered = with_row_index(content, ["_text", "_all", "_row"], "_number")
+    return named.where(own.isNotNull()).union(numbered.select("row", F.concat(F.lit("~"), F.col("_number").cast("string"))))
+
+
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, temperature: float = 0.5, budget: float | None = None,
         seed: int = 17) -> DataFrame:
     """Copies of documents in mixed order: all columns, ``mix_copies``, ``mix_copy`` (from 1) and ``mix_key``."""
     own = [c for c in docs.columns if c not in ("mix_copies", "mix_copy", "mix_key")]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"))
     by_source = materialize(rates(docs, weights, temperature, budget), "mixing-rates").select(F.col("source").alias("of"), "rate")
-    drawn = (rows.join(by_source, F.col("row.source").eqNullSafe(F.col("of")))
-             .select("row", poisson(uniform(seed, F.col("row.doc_id")), F.col("rate")).alias("mix_copies")))
+    drawn = (_named(rows).join(by_source, F.col("row.source").eqNullSafe(F.col("of")))
+             .select("row", "name", poisson(uniform(seed, F.col("name")), F.col("rate")).alias("mix_copies")))
     copies = drawn.where("mix_copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_copies")))
-    key = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.coalesce(F.col("row.doc_id").cast("string"), F.lit("")), F.col("mix_copy").cast("string")))
+    key = F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), F.col("name"), F.col("mix_copy").cast("string")))
     placed = copies.withColumn("mix_key", key).repartition("mix_key").sortWithinPartitions("mix_key")
     return placed.select("row.*", "mix_copies", "mix_copy", "mix_key")

@@ -115,12 +115,68 @@ def test_poisson_inversion(spark):
         assert row.n == n
 
 
+def test_mixing_of_rows_without_ids(docs):
+    """A source without ids keeps its weight, also if a third of its rows are equal, and is spread over the partitions."""
+    rows = [(None if k % 2 else k, "the same words again" if k % 6 == 1 else prose(k, 4)) for k in range(12_000)]
+    frame = docs(*rows)
+    mixed = mixing.mix(frame, weights={"s0": 1.0, "s1": 2.0}, budget=60_000.0).cache()
+    got = dict(mixed.groupBy("source").agg(F.sum(F.octet_length("text"))).collect())
+    assert abs(got["s1"] / sum(got.values()) - 2 / 3) < 0.03
+    nameless = mixed.where("doc_id is null")
+    spread = [r[1] for r in nameless.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(spread) < 0.5 * sum(spread)
+    again = mixing.mix(frame.repartition(5), weights={"s0": 1.0, "s1": 2.0}, budget=60_000.0)
+    assert sorted(r.mix_key for r in again.select("mix_key").collect()) == sorted(r.mix_key for r in mixed.select("mix_key").collect())
+
+
 def test_mixing_of_odd_rows(docs):
-    assert mixing.mix(docs(*odd_rows())).count() >= 0
+    odd = mixing.mix(docs(*odd_rows()), budget=10.0 ** 6)
+    assert odd.where("text is not null").groupBy("doc_id").count().where("doc_id is null").count() == 1
     assert mixing.mix(docs((1, None), (2, "")), temperature=1.0).count() == 0
     assert mixing.mix(docs((1, "a")).limit(0)).count() == 0
 
 
+def brute_probability(text, model):
+    """A plain convolution and pooling, one step after the other."""
+    size, steps = bytenet.STEP, bytenet.HALF
+    padded = text.ljust(max(1, -(-len(text) // (size * steps))) * size * steps, b"\0")
+    filters = model["filters"].astype(float)
+    vectors = [np.concatenate([bytenet._VECTORS[b] for b in padded[k:k + size]]) for k in range(0, len(padded), size)] + [np.tile(bytenet._VECTORS[0], size)]
+    responses = [vectors[k] @ filters[:, :bytenet.FILTERS] + vectors[k + 1] @ filters[:, bytenet.FILTERS:] for k in range(len(vectors) - 1)]
+    halves = [np.max(responses[k:k + steps], axis=0) for k in range(0, len(responses), steps)]
+    chunks = [np.maximum(np.maximum(a, b) + model["bias"], 0) for a, b in zip(halves, halves[1:], strict=False)] or [np.maximum(halves[0] + model["bias"], 0)]
+    both = np.concatenate([np.mean(chunks, axis=0), np.max(chunks, axis=0)])
+    return 1 / (1 + np.exp(-(both @ model["weights"] + model["offset"])))
+
+
+def some_network():
+    draw = np.random.default_rng(2)
+    return {"filters": draw.normal(0, 0.2, (32, 64)).astype(np.float32), "bias": draw.normal(0, 0.1, 32).astype(np.float32),
+            "weights": draw.normal(0, 0.3, 64), "offset": 0.1}
+
+
+def test_network_equals_a_plain_convolution(docs, monkeypatch):
+    model = some_network()
+    rows = odd_rows()[:-4] + [(k, prose(k, n)) for k, n in enumerate((1, 20, 26, 60, 200), 40)]
+    expected = {k: brute_probability((t or "").encode(), model) for k, (_, t) in enumerate(rows) if not t or len(t) < 5000}
+    for slice_bytes in (bytenet.SLICE_BYTES, 256):
+        monkeypatch.setattr(bytenet, "SLICE_BYTES", slice_bytes)
+        for k, value in expected.items():
+            assert abs(bytenet.probability([(rows[k][1] or "").encode()], model)[0] - value) < 1e-5
+    assert bytenet.score(docs(*rows), model).count() == len(rows)
+
+
+def test_network_on_a_very_long_text():
+    import subprocess
+    import sys
+    code = ("import resource, numpy as np; from demandspark.llm import bytenet; from tests.llm.test_documents import some_network;"
+            "before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss;"
+            "bytenet.probability([b'some words of a text. ' * 2_300_000], some_network());"
+            "print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)")
+    grown = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split()[-1])
+    assert grown < 500
+
+
 def brute_statistics(text):
     text = text or ""
     w = text.encode().split()
