@@ -4,12 +4,13 @@
    functions; the minima are a text's signature. Equal texts are one node, named by 128 bits of their SHA-256.
 2. *Bands.* Texts whose minima agree in a whole band are candidates. With 32 bands of 6, a pair at a similarity
    of 0.85 shares no band with a probability of 3 in 10 million, a more similar pair is missed far more rarely.
-3. *Stars.* In each band bucket every text is compared with one text, the hub, so a group of copies costs as many
-   pairs as it has texts. A pair goes on if the signatures' estimate is not hopeless (``SLACK`` standard
+3. *Stars.* In each band bucket every text is compared with one text, the hub: that with most company in all its buckets,
+   which is the least edited one of a group of copies. A group so costs as many pairs as it has texts. A pair goes on if the signatures' estimate is not hopeless (``SLACK`` standard
    deviations below the threshold) and links if the full sets reach the threshold.
 4. *Components* of these links by alternating large-star and small-star.
 5. *The rest.* Texts that share a bucket but are still in different components meet directly, in classes of
-   set size, unless their sizes exclude a link. Then the components are taken again.
+   set size, unless their sizes exclude a link, or the numbers of their n-grams that occur in any other such text do
+   (a heavily edited copy has too few of these to link with anything). Then the components are taken again.
 
 Sets are compared by 64-bit hashes of their n-grams. Null text, empty text and text without words: an empty set,
 linked with nothing, ``component_id`` is the row's own id. Repeated rows and equal texts share a component.
@@ -124,9 +125,14 @@ class _Corpus:
         texts = (self.signed.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"), F.max("signature").alias("signature"))
                  .withColumn("node", F.monotonically_increasing_id()))
         self.texts = materialize(texts, "minhash-texts")
-        postings = self.texts.select("node", "n", F.explode(F.array(*[self._band(k) for k in range(bands)])).alias("band"))
-        shared = postings.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other").select("band", "hub")
-        self.members = materialize(postings.join(shared, "band").select("band", "node", "n", "hub"), "minhash-members")
+        postings = self.texts.select("node", "n", F.explode(self._all_bands()).alias("band"))
+        # Each aggregate is stored before it is joined, so that hot buckets can be split in the join.
+        buckets = materialize(postings.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "minhash-buckets")
+        shared = materialize(postings.join(buckets, "band"), "minhash-shared")
+        company = materialize(shared.groupBy("node").agg(F.sum("size").alias("company")), "minhash-company")
+        best = F.max(F.struct("company", "node")).getField("node")
+        hubs = materialize(shared.join(company, "node").groupBy("band").agg(best.alias("hub")), "minhash-hubs")
+        self.members = materialize(shared.join(hubs, "band").select("band", "node", "n", "hub"), "minhash-members")
         near = self.texts.join(self.members.select("node").distinct(), "node", "left_semi").select("node", "class", "first_id")
         found = docs.join(near, (docs["node"] == near["class"]) & docs["doc_id"].eqNullSafe(near["first_id"]))
         self.sets = materialize(found.select(near["node"], F.col("text").cast("binary").alias("text"))
@@ -136,6 +142,9 @@ class _Corpus:
         width = 4 * self.rows
         return F.xxhash64(F.lit(k), F.substring("signature", k * width + 1, width))
 
+    def _all_bands(self) -> Column:
+        return F.array(*[self._band(k) for k in range(self.bands)])
+
     def sizes_allow(self, a: str, b: str) -> Column:
         return F.least(a, b) * 100 >= F.greatest(a, b) * self.threshold
 
@@ -153,18 +162,34 @@ class _Corpus:
                            F.size(F.array_intersect("grams_a", "grams_b")).alias("common"))
         return both.where(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * self.threshold).select("a", "b").distinct()
 
+    def _common(self, nodes: DataFrame) -> DataFrame:
+        """(node, n, s) of the ``nodes`` that may still link: ``s`` of their n-grams occur in another of them, enough for the threshold."""
+        grams = self.sets.join(nodes, "node", "left_semi").select("node", F.size("grams").cast("long").alias("n"), F.explode("grams").alias("gram"))
+        several = materialize(grams.groupBy("gram").agg(F.count("*").alias("texts")).where("texts > 1").select("gram"), "minhash-grams")
+        counted = grams.join(several, "gram").groupBy("node").agg(F.first("n").alias("n"), F.count("*").alias("s"))
+        return materialize(counted.where(F.col("s") * 100 >= F.col("n") * self.threshold), "minhash-common")
+
     def rest(self, labels: DataFrame) -> DataFrame:
-        """Pairs that share a bucket, are in different components and are of a size: only texts of neighbouring size classes meet."""
+        """Pairs that share a bucket, are in different components and may link by their sizes and numbers of common n-grams."""
         placed = self.members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        still = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band")
+
+        def still_open(rows: DataFrame) -> DataFrame:
+            bands = rows.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("band")
+            return materialize(rows.join(materialize(bands, "minhash-bands"), "band", "left_semi"), "minhash-open")
+        placed = still_open(placed)
+        common = self._common(placed.select("node").distinct())
+        common = self._common(common.select("node"))  # once more without the texts that left
+        placed = still_open(placed.drop("n").join(common, "node").join(self.texts.select("node", self._all_bands().alias("bands")), "node"))
         width = 1.0001 * float(np.log(100 / min(self.threshold, 99)))  # a hair more than the largest ratio of linked sizes
-        kind = F.floor(F.ln("n") / width).cast("int")
-        placed = materialize(placed.join(still, "band").select("band", "node", "n", "hub", "component", kind.alias("kind")), "minhash-open")
+        placed = placed.withColumn("kind", F.floor(F.ln("n") / width).cast("int"))
         other = placed.withColumn("kind", F.explode(F.array(F.col("kind") - 1, F.col("kind"), F.col("kind") + 1)))
+        need = F.ceil((F.col("p.n") + F.col("q.n")) * self.threshold / (100.0 + self.threshold) - 1e-9)
         met = (placed.alias("p").join(other.alias("q"), (F.col("p.band") == F.col("q.band")) & (F.col("p.kind") == F.col("q.kind"))
                                       & (F.col("p.node") < F.col("q.node")) & (F.col("p.component") != F.col("q.component"))
-                                      & (F.col("p.node") != F.col("p.hub")) & self.sizes_allow("p.n", "q.n")))
-        return met.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+                                      & (F.col("p.node") != F.col("p.hub")) & (F.col("q.node") != F.col("p.hub"))
+                                      & (F.least("p.s", "q.s") >= need) & self.sizes_allow("p.n", "q.n")
+                                      & (F.get(F.array_intersect("p.bands", "q.bands"), F.lit(0)) == F.col("p.band"))))  # each pair in its first bucket
+        return met.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
 
     def labels(self) -> DataFrame:
         """(node, component) of the texts that link with another one."""
