@@ -53,9 +53,14 @@ def _any(conditions: list[Column]) -> Column:
     return found
 
 
+def is_valid(rules: str = "staging") -> Column:
+    """Whether a row meets the ``staging`` or the stricter ``silver`` rules."""
+    return ~_any(list(_faults(rules).values()))
+
+
 def clean(df: DataFrame, rules: str = "staging") -> DataFrame:
     """Keep the rows that meet the ``staging`` or the stricter ``silver`` rules."""
-    return df.filter(~_any(list(_faults(rules).values())))
+    return df.filter(is_valid(rules))
 
 
 def rejects(df: DataFrame, rules: str = "staging") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -17,7 +17,7 @@ _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.Tim
 _LOWEST = -(1 << 62)
 
 
-def _packed(df: DataFrame, order: Sequence[str]) -> Column | None:
+def packed_order(df: DataFrame, order: Sequence[str]) -> Column | None:
     """A time and an id as one number that sorts like both, nulls first; None for another order."""
     kinds = [df.schema[c].dataType for c in order]
     if len(kinds) != 2 or not isinstance(kinds[1], T.IntegralType):
@@ -35,13 +35,18 @@ def _packed(df: DataFrame, order: Sequence[str]) -> Column | None:
     return (high + low).cast("decimal(38,0)")
 
 
+def fixed_width(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether hash aggregation can keep all ``columns`` in place."""
+    return all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in columns)
+
+
 def _one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick, columns) -> DataFrame:
     """Columns of fixed width are picked one by one by a packed order, which hash aggregation can update
     in place; equal orders are met in the same sequence by each of them. Others are picked as a struct."""
     kept = list(columns or df.columns)
     wanted = [c for c in kept if c not in keys]
-    packed = _packed(df, order)
-    if packed is not None and wanted and all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in wanted):
+    packed = packed_order(df, order)
+    if packed is not None and wanted and fixed_width(df, wanted):
         ordered = df.select(*dict.fromkeys([*keys, *wanted]), packed.alias("_order"))
         return ordered.groupBy(*keys).agg(*[pick(c, "_order").alias(c) for c in wanted]).select(*kept)
     best = pick(F.struct(*wanted), F.struct(*order)).alias("_row")
@@ -60,6 +65,21 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str] = EVENT_KEY, order: Sequenc
     return _one_per_key(df, keys, order, F.max_by, columns)
 
 
+def latest_by_rule(df: DataFrame, rules: Mapping[str, Column], values: Sequence[str], keys: Sequence[str] = EVENT_KEY,
+                   order: Sequence[str] = RECENCY) -> DataFrame:
+    """Per key and rule the ``values`` of the latest row that meets the rule, as ``<rule>_<value>``, and ``<rule>_n``, how many do.
+
+    One aggregate for all rules: each picks its own latest row, so the rows are read and shuffled once.
+    """
+    packed = packed_order(df, order)
+    when = F.struct(*order) if packed is None else packed
+    aggregates = []
+    for name, condition in rules.items():
+        held = F.when(condition, when)
+        aggregates += [F.count_if(condition).alias(f"{name}_n"), *[F.max_by(c, held).alias(f"{name}_{c}") for c in values]]
+    return df.groupBy(*keys).agg(*aggregates)
+
+
 def keep_first(df: DataFrame, keys: Sequence[str] = EVENT_KEY, order: Sequence[str] = RECENCY) -> DataFrame:
     """Keep the row with the lowest ``order`` per key."""
     return _one_per_key(df, keys, order, F.min_by, None)

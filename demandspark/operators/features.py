@@ -93,18 +93,30 @@ def _has_null(columns) -> Column:
     return found
 
 
+def _usable_rows() -> dict[str, Column]:
+    """Per series: usable training rows, holdout rows, and holdout rows that lack a feature."""
+    usable = ~_has_null([*RATIO_FEATURES, "target_ratio"])
+    return {"train_rows": F.count_if(~F.col("is_holdout") & usable), "test_rows": F.count_if("is_holdout"),
+            "incomplete_test_rows": F.count_if(F.col("is_holdout") & _has_null([*RATIO_FEATURES, "level"]))}
+
+
 def eligible(features: DataFrame, min_train: int = 60) -> DataFrame:
     """Usable training rows and holdout rows per series, and whether the series can be modelled:
     enough training rows, a holdout, and no missing feature in it."""
-    usable = ~_has_null([*RATIO_FEATURES, "target_ratio"])
-    counts = features.groupBy(SERIES).agg(
-        F.count_if(~F.col("is_holdout") & usable).alias("train_rows"),
-        F.count_if("is_holdout").alias("test_rows"),
-        F.count_if(F.col("is_holdout") & _has_null([*RATIO_FEATURES, "level"])).alias("incomplete_test_rows"))
+    counts = features.groupBy(SERIES).agg(*[column.alias(name) for name, column in _usable_rows().items()])
     return counts.withColumn("is_eligible", (F.col("train_rows") >= min_train) & (F.col("test_rows") > 0)
                              & (F.col("incomplete_test_rows") == 0))
 
 
+def eligible_rows(features: DataFrame, min_train: int = 60) -> DataFrame:
+    """The rows of the series that ``eligible`` admits, flagged in the pass that made the features: a series is in one
+    partition already, so no further exchange or scan is needed."""
+    whole = Window.partitionBy(SERIES)
+    counts = {name: column.over(whole) for name, column in _usable_rows().items()}
+    admitted = (counts["train_rows"] >= min_train) & (counts["test_rows"] > 0) & (counts["incomplete_test_rows"] == 0)
+    return features.withColumn("_admitted", admitted).filter("_admitted").drop("_admitted")
+
+
 def rolling_origins(df: DataFrame, initial: int, period: int, horizon: int = HOLDOUT_DAYS) -> DataFrame:
     """Cutoffs of a rolling-origin evaluation, one row per series and origin.
 

@@ -61,22 +61,23 @@ def run_suite(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 
     Row checks and the first key check share one scan: rows are counted per key, with the
     failures of each row check summed beside the count, then totalled. Each further key check
-    adds one pass. A key check fails every row of a repeated key.
+    adds one pass. A key check fails every row of a repeated key; rows whose key is null throughout are left out of it.
     """
     row_checks = [(i, c) for i, c in enumerate(checks) if not c.key]
     key_checks = [(i, c) for i, c in enumerate(checks) if c.key]
     failures = [F.count_if(c.failed).alias(f"c{i}") for i, c in row_checks]
 
-    def repeated(i: int) -> Column:
-        return F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)).alias(f"c{i}")
+    def repeated(i: int, key: Sequence[str]) -> Column:
+        named = F.coalesce(*[F.col(c).cast("string") for c in key]).isNotNull()
+        return F.sum(F.when((F.col("_n") > 1) & named, F.col("_n")).otherwise(0)).alias(f"c{i}")
 
     if not key_checks:
         return _as_rows(df.agg(*failures), checks)
     (first, check), *others = key_checks
     totals = df.groupBy(*check.key).agg(F.count("*").alias("_n"), *failures) \
-        .agg(repeated(first), *[F.sum(f"c{i}").alias(f"c{i}") for i, _ in row_checks])
+        .agg(repeated(first, check.key), *[F.sum(f"c{i}").alias(f"c{i}") for i, _ in row_checks])
     for i, other in others:
-        one = df.groupBy(*other.key).agg(F.count("*").alias("_n")).agg(repeated(i))
+        one = df.groupBy(*other.key).agg(F.count("*").alias("_n")).agg(repeated(i, other.key))
         totals = totals.withColumn(f"c{i}", value_of(one))
     return _as_rows(totals, checks)
 
@@ -89,9 +90,15 @@ def assert_suite(results: DataFrame) -> DataFrame:
     return results
 
 
+def non_empty(df: DataFrame, what: str = "input") -> DataFrame:
+    """One row: ``what`` and whether it has rows; at most one row of each partition is read."""
+    found = F.count("*") > 0
+    return df.select(F.lit(1)).limit(1).agg(F.lit(what).alias("what"), F.when(found, "PASS").otherwise("FAIL").alias("status"))
+
+
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
     """Gate: raise on an empty table."""
-    if df.isEmpty():
+    if non_empty(df, what).first().status == "FAIL":
         raise ValueError(f"{what} is empty")
     return df
 

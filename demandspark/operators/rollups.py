@@ -67,12 +67,12 @@ def wow_days(daily: DataFrame, value: str = "daily_units") -> DataFrame:
     return daily.withColumn("wow_growth_rate", growth(F.col(value), value_days_ago(value, 7)))
 
 
-def with_trends(daily: DataFrame, value: str) -> DataFrame:
+def with_trends(daily: DataFrame, value: str, series: str = SERIES) -> DataFrame:
     """Both rolling means and the weekly growth, cast to their table types, in one window pass."""
-    by_date = Window.partitionBy(SERIES).orderBy("event_date")
+    by_date = Window.partitionBy(series).orderBy("event_date")
     windows = daily.withColumns({
-        "rolling_avg_units_7d": range_mean(value, 7),
-        "rolling_avg_units_30d": range_mean(value, 30),
+        "rolling_avg_units_7d": range_mean(value, 7, series=series),
+        "rolling_avg_units_30d": range_mean(value, 30, series=series),
         "_week_ago": F.lag(value, 7).over(by_date)})
     return windows.withColumns({
         "rolling_avg_units_7d": F.col("rolling_avg_units_7d").cast(AVERAGE),

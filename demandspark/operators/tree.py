@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import HOLDOUT_DAYS
 from ..session import materialize
-from .features import FEATURES, _has_null, eligible, make_features
+from .features import FEATURES, _has_null, eligible_rows, make_features
 from .rollups import SERIES
 
 SERIES_CODES = ["series_code_0", "series_code_1", "series_code_2"]
@@ -31,9 +31,7 @@ def _series_codes() -> dict[str, Column]:
 def direct_tree(df: DataFrame, iterations: int = 20, depth: int = 5, learning_rate: float = 0.1,
                 seed: int = 42, horizon: int = HOLDOUT_DAYS) -> DataFrame:
     """Holdout predictions of the eligible series, never below zero."""
-    features = materialize(make_features(df, horizon), "features")
-    usable = features.join(eligible(features).filter("is_eligible").select(SERIES), SERIES, "left_semi") \
-        .withColumns(_series_codes())
+    usable = materialize(eligible_rows(make_features(df, horizon)).withColumns(_series_codes()), "features")
     train = usable.filter(~F.col("is_holdout") & ~_has_null([*FEATURES, "target_ratio"]))
     model = Pipeline(stages=[
         VectorAssembler(inputCols=[*FEATURES, *SERIES_CODES], outputCol="features"),

@@ -62,17 +62,34 @@ def trend_season(df: DataFrame, flexibility: float = 0.05, chosen: DataFrame | N
 
 def rolling_cv(df: DataFrame, grid: Sequence[float] = FLEXIBILITY_GRID, initial: int = CV_INITIAL_DAYS,
                period: int = CV_PERIOD_DAYS, horizon: int = HOLDOUT_DAYS) -> DataFrame:
-    """Error per series and flexibility over rolling origins in the training part.
+    """Error per series and flexibility over rolling origins in the training part."""
+    return cv_predictions(df, grid, initial, period, horizon).groupBy(SERIES, "flexibility").agg(
+        mape(F.col("y"), F.col("yhat")).alias("cv_mape"), F.count_distinct("cutoff").alias("origins"))
+
 
-    One task fits one (series, origin) with every flexibility: the normal equations are built
-    once, and rows are repeated per origin but not per grid value.
+def cv_predictions(df: DataFrame, grid: Sequence[float] = FLEXIBILITY_GRID, initial: int = CV_INITIAL_DAYS,
+                   period: int = CV_PERIOD_DAYS, horizon: int = HOLDOUT_DAYS) -> DataFrame:
+    """Predictions behind every rolling origin, per series and flexibility.
+
+    A series goes to one task once, whatever the number of origins: the normal equations of all its training spans come from
+    running sums over its days (``ridge.Folds``), and a fold costs a solve per grid value.
     """
     split = with_cutoff(df, horizon).filter(F.col("ds") <= F.col("cutoff")).drop("cutoff")
+    origins = rolling_origins(split, initial, period, horizon).select(SERIES, "cutoff", F.unix_date("cutoff").alias("last"))
+    validate, values, ahead, name = ridge.cross_validate, [float(g) for g in grid], horizon, SERIES
+    rows = split.select(SERIES, "ds", F.col("y").cast("double").alias("y"), F.unix_date("ds").alias("day"), holiday_code(F.col("ds")).alias("us_holiday"))
+    return rows.groupBy(SERIES).cogroup(origins.groupBy(SERIES)).applyInPandas(
+        lambda pdf, own: validate(pdf, own, values, ahead, name), f"{SERIES} string, cutoff date, ds date, y double, flexibility double, yhat double")
+
+
+def cv_refits(df: DataFrame, grid: Sequence[float] = FLEXIBILITY_GRID, initial: int = CV_INITIAL_DAYS,
+              period: int = CV_PERIOD_DAYS, horizon: int = HOLDOUT_DAYS) -> DataFrame:
+    """The same predictions by a fit of each (series, origin) from its rows: a check of ``cv_predictions``."""
+    split = with_cutoff(df, horizon).filter(F.col("ds") <= F.col("cutoff")).drop("cutoff")
     origins = rolling_origins(split, initial, period, horizon)
     folds = split.join(origins, SERIES).filter(F.col("ds") <= F.date_add("cutoff", horizon)) \
         .withColumn("is_train", F.col("ds") <= F.col("cutoff"))
-    return fit_and_predict(folds, grid).groupBy(SERIES, "flexibility").agg(
-        mape(F.col("y"), F.col("yhat")).alias("cv_mape"), F.count_distinct("cutoff").alias("origins"))
+    return fit_and_predict(folds, grid).select(SERIES, "cutoff", "ds", "y", "flexibility", "yhat")
 
 
 def best_param(cv: DataFrame, grid: Sequence[float] = FLEXIBILITY_GRID) -> DataFrame:

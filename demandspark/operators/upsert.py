@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..schemas import EVENT_KEY, RECENCY
 from ..session import staged
 from ..sources.lake import replace_partitions, table_exists
-from .dedupe import dedupe_latest
+from .dedupe import dedupe_latest, fixed_width, packed_order
 
 MONTH = "event_month"
 
@@ -26,12 +26,15 @@ def new_rows(source: DataFrame, bronze: DataFrame, id_cols: Sequence[str] = ("id
     return source.join(bronze.select(*id_cols), list(id_cols), "left_anti")
 
 
-def stamp(df: DataFrame, batch_id: str, source: str | None = None, layer: str = "bronze") -> DataFrame:
+def stamps(batch_id: str, source: str | None = None, layer: str = "bronze") -> dict[str, Column]:
     """Audit columns: batch, time and, if given, source."""
     columns = {f"_{layer}_batch_id": F.lit(batch_id), f"_{layer}_at": F.current_timestamp()}
-    if source is not None:
-        columns["_source"] = F.lit(source)
-    return df.withColumns(columns)
+    return columns | ({"_source": F.lit(source)} if source is not None else {})
+
+
+def stamp(df: DataFrame, batch_id: str, source: str | None = None, layer: str = "bronze") -> DataFrame:
+    """``df`` with the audit columns of a batch."""
+    return df.withColumns(stamps(batch_id, source, layer))
 
 
 def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
@@ -52,8 +55,30 @@ def _newer(order: Sequence[str]) -> Column:
     return F.col("_old").isNotNull() & F.col("_new").isNotNull() & (new > old)
 
 
+def _merged(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame | None:
+    """``_upserted`` as one aggregate over both sides: no join, null key parts meet by themselves, a key of very many
+    updates is one row per task. None if the columns are not all of fixed width, which such an aggregate needs."""
+    columns = target.columns
+    both = target.withColumn("_side", F.lit(0)).unionAll(updates.select(*columns).withColumn("_side", F.lit(1)))
+    packed, values = packed_order(both, order), [c for c in columns if c not in keys]
+    if packed is None or not fixed_width(both, values):
+        return None
+    ordered = both.select(*columns, "_side", packed.alias("_order"))
+    side = [F.max(F.when(F.col("_side") == k, F.col("_order"))) for k in (0, 1)]
+    old, new = F.col("_old"), F.col("_new")
+    picked = ordered.groupBy(*keys).agg(side[0].alias("_old"), side[1].alias("_new"),
+                                        *[F.max_by(c, F.when(F.col("_side") == k, F.col("_order"))).alias(f"_{k}_{c}") for c in values for k in (0, 1)])
+    change = F.when(old.isNull(), "inserted").when(new.isNull(), "kept").when(new > old, "updated").otherwise("unchanged")
+    marked = picked.withColumn("_change", change)
+    taken = F.col("_change").isin("inserted", "updated")
+    return marked.select(*[F.col(c) if c in keys else F.when(taken, F.col(f"_1_{c}")).otherwise(F.col(f"_0_{c}")).alias(c) for c in columns], "_change")
+
+
 def _upserted(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The upserted table with what happened to each row (``_change``)."""
+    merged = _merged(target, updates, keys, order)
+    if merged is not None:
+        return merged
     change = F.when(F.col("_old").isNull(), "inserted").when(F.col("_new").isNull(), "kept") \
         .when(_newer(order), "updated").otherwise("unchanged")
     joined = _matched(target, updates, keys, order).withColumn("_change", change)
@@ -86,14 +111,16 @@ def upsert_metrics(target: DataFrame, updates: DataFrame, keys: Sequence[str] =
 
 
 def merge_into(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str] = EVENT_KEY,
-               order: Sequence[str] = RECENCY, date: str = "event_date") -> dict[str, int]:
+               order: Sequence[str] = RECENCY, date: str = "event_date",
+               on_change: Callable[[DataFrame], None] | None = None, stamps: Mapping[str, Column] | None = None) -> dict[str, int]:
     """Upsert a batch into a table partitioned by month; only months of the batch are read and
     rewritten. Returns the metrics of the merge; a replayed batch changes and writes nothing.
 
     The result is complete in the shared folder before any partition is replaced, and running
-    an interrupted merge again gives the same table.
+    an interrupted merge again gives the same table. ``on_change`` gets the inserted and updated rows
+    before the table is touched. ``stamps`` are audit columns of the rows the batch writes; others keep theirs.
     """
-    latest = dedupe_latest(updates, keys, order).withColumn(MONTH, F.trunc(date, "MM"))
+    latest = dedupe_latest(updates, keys, order).withColumns({**(stamps or {}), MONTH: F.trunc(date, "MM")})
     with staged(latest, "batch") as batch:
         months = months_in(batch)
         if table_exists(spark, path):
@@ -102,8 +129,11 @@ def merge_into(spark: SparkSession, path: str, updates: DataFrame, keys: Sequenc
             touched = batch.limit(0)
         with staged(_upserted(touched, batch, keys, order), "merged") as merged:
             metrics = _counts(merged).first().asDict()
-            changed = months_in(merged.filter(F.col("_change").isin("inserted", "updated")))
+            altered = merged.filter(F.col("_change").isin("inserted", "updated"))
+            changed = months_in(altered)
             if changed:
+                if on_change:
+                    on_change(altered.drop("_change"))
                 replace_partitions(merged.filter(F.col(MONTH).isin(changed)).drop("_change"), path, [MONTH])
     return metrics
 

@@ -137,6 +137,60 @@ def _checks(source: str, checks: list[tuple[str, str]], first: int = 0) -> str:
         for i, (name, count) in enumerate(checks))
 
 
+def _fingerprint(source: str, columns: list[str]) -> str:
+    texts = " || ',' || ".join(f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')" for c in columns)
+    half = lambda start: f"cast(sum(('0x' || substr(h, {start}, 15))::BIGINT) as decimal(38,0))"
+    return f"""select count(*) "rows", {half(1)} hash_low, {half(16)} hash_high from (select md5({texts}) h from {source})"""
+
+
+def _contract(days: str, more: str = "") -> str:
+    return f"""select product_category, 90 n_rows, 90 n_days, {days}, 0 missing_or_negative{more} from span"""
+
+
+def _label(column: str) -> str:
+    return f"case {column} when 'seasonal_naive' then 'Seasonal Naive' when 'lag_364' then 'Lag 364' else 'Level' end"
+
+
+def _fact_lines() -> str:
+    def span(start: str, end: str, years: int = 0) -> str:
+        return " || ' to ' || ".join(f"cast(cast({x} - interval {years} years as date) as varchar)" for x in (start, end))
+    one, signed = "format('{{:,.1f}}', {})", "printf('%+.1f', {})"
+    move = f"string_agg(product_category || ' ' || {signed.format('yoy_pct')} || '%', ', ' order by abs(yoy_pct) desc, {{}})"
+    grow, fall = move.format("product_category"), move.format("product_category desc")
+    lines = [
+        ("trend", "'all'", f"'Daily means over ' || {span('p_start', 'p_end')} || ' beside those of ' || {span('p_start', 'p_end', 1)}", "recent"),
+        ("trend", "'all'", f"'Up on the year, strongest rise first: ' || coalesce({grow} filter (where yoy_pct > 0), 'none')", "movers"),
+        ("trend", "'all'", f"'Down on the year, strongest fall first: ' || coalesce({fall} filter (where yoy_pct < 0), 'none')", "movers"),
+        ("forecast", "'all'", f"'Forecast days ' || {span('p_start', 'p_end')} || ' beside ' || {span('p_start', 'p_end', 1)} || "
+                              f"'; the growth before that is against ' || {span('p_start', 'p_end', 2)}", "ahead"),
+        ("model", "'all'", f"'Errors are those of ' || {span('p_start', 'p_end')} || ', predicted from data up to ' || cast(p_start - 1 as varchar)", "recent"),
+        ("trend", "product_category", "product_category || ' is ' || case when yoy_pct > 0 then 'up' when yoy_pct < 0 then 'down' else 'level' end || "
+         f"': a daily mean of ' || {one.format('recent_avg')} || ' units after ' || {one.format('year_earlier_avg')} || "
+         f"' twelve months before, a change of ' || {signed.format('yoy_pct')} || ' percent'", "yoy1"),
+        ("forecast", "product_category", f"'Expected daily mean of ' || product_category || ': ' || {one.format('forecast_avg')} || "
+         f"' units; on these dates a year ago it was ' || {one.format('same_dates_last_year_avg')} || '. Change ' || "
+         f"{signed.format('forecast_yoy_pct')} || ' percent, the year before ' || {signed.format('prior_year_yoy_pct')} || ' percent'", "fyoy1"),
+        ("model", "model", f"'Average percentage error of ' || {_label('model')} || ' on the holdout: ' || format('{{:,.2f}}', round_even(mean_mape, 2))", "means"),
+        ("model", "a.model", f"{_label('a.model')} || ' errs least, by ' || format('{{:,.2f}}', round_even(b.mean_mape - a.mean_mape, 2)) || "
+         f"' points before ' || {_label('b.model')}", _TWO_BEST),
+        ("wins", "m.model", f"{_label('m.model')} || ' comes first for ' || count(b.product_category) || ' series out of ' || "
+         "(select count(*) from best) || ': ' || coalesce(string_agg(b.product_category, ', ' order by b.product_category), 'none')",
+         "(select distinct model from metrics) m left join best b on b.best_model = m.model group by m.model"),
+        ("recommendation", "a.model", f"case when b.mean_mape - a.mean_mape < 0.5 then {_label('a.model')} || ' and ' || {_label('b.model')} || "
+         f"' err equally; either will do' when a.model = 'seasonal_naive' then 'Stay with ' || {_label('a.model')} "
+         f"else 'Change over to ' || {_label('a.model')} || ', which errs least' end", _TWO_BEST),
+        ("wins", "'seasonal_naive'", "'Seasonal Naive is ahead of Lag 364 for ' || count(*) || ' series: ' || "
+         "coalesce(string_agg(product_category, ', ' order by product_category), 'none')", f"({_BEATS})")]
+    return " union all ".join(f"select '{section}' section, {subject} subject, {text} line from {source}" for section, subject, text, source in lines)
+
+
+_TWO_BEST = ("(select * from means where mean_mape is not null order by mean_mape, model limit 1) a, "
+             "(select * from means where mean_mape is not null order by mean_mape, model limit 1 offset 1) b")
+_BEATS = """select * from (select product_category,
+          max(round_even(mape, 2)) filter (where model = 'seasonal_naive') mape_a,
+          max(round_even(mape, 2)) filter (where model = 'lag_364') mape_b from metrics group by 1) where mape_a < mape_b"""
+
+
 def _failed(condition: str) -> str:
     return f"count(*) filter (where {condition})"
 
@@ -158,6 +212,9 @@ STEPS = {
     "ev": f"""select {_ID} id, cast(l_shipdate as date) event_date, p_type product_category, r_name store_region,
         cast(l_quantity as integer) units_sold, {_REVENUE} revenue, {_PRICE} avg_unit_price,
         l_discount >= 0.05 promotion_flag, o_orderdate ingested_at from {_JOINED}""",
+    "deliveries": """select e.*, g.mark from (select *, case when year(ingested_at) <= 1996 then 1 when year(ingested_at) <= 1998 then 2 else 3 end n
+          from ev) e join (select k n, (select max(event_date) - 30 from ev where year(ingested_at) <= case k when 1 then 0 when 2 then 1996 else 1998 end) mark
+          from (values (1), (2), (3)) t(k)) g on g.n = e.n""",
     "batches": "select *, year(ingested_at) batch_seq from ev",
     "messy": f"""select {_ID} id,
         case when l_tax = 0.06 and l_discount = 0.07 then 'not a date' else cast(cast(l_shipdate as date) as varchar) end event_date,
@@ -273,6 +330,13 @@ STEPS = {
         from series, recent group by 1""",
     "yoy": """select product_category, mean_now recent_avg, mean_1y_ago year_earlier_avg,
         (mean_now - mean_1y_ago) / nullif(mean_1y_ago, 0) * 100 yoy_pct from periods""",
+    "yoy1": """select product_category, round_even(recent_avg, 1) recent_avg, round_even(year_earlier_avg, 1) year_earlier_avg,
+        round_even(yoy_pct, 1) yoy_pct from yoy""",
+    "movers": """select case when yoy_pct > 0 then 'growing' else 'declining' end direction, product_category, yoy_pct
+        from yoy1 where yoy_pct <> 0""",
+    "fyoy1": """select product_category, round_even(forecast_avg, 1) forecast_avg, round_even(ly, 1) same_dates_last_year_avg,
+        round_even((forecast_avg - ly) / nullif(ly, 0) * 100, 1) forecast_yoy_pct,
+        round_even((ly - ly2) / nullif(ly2, 0) * 100, 1) prior_year_yoy_pct from fyoy""",
     "ahead": "select min(ds) as p_start, max(ds) as p_end from forward",
     "fyoy": """select s.product_category, f.forecast_avg, s.ly, s.ly2 from (select product_category,
           avg(y) filter (where ds between p_start - interval 1 year and p_end - interval 1 year) ly,
@@ -292,6 +356,12 @@ STEPS = {
           greatest(yhat + residual_high, 0.0) from naive n join bounds b on b.product_category = n.product_category
         union all select ds, n.product_category, 'Forecast', greatest(yhat, 0.0), greatest(yhat + residual_low, 0.0),
           greatest(yhat + residual_high, 0.0) from forward n join bounds b on b.product_category = n.product_category""",
+    "eligibles": """select *, train_rows >= 60 and test_rows > 0 and incomplete_test_rows = 0 is_eligible from (
+        select f.product_category, count(*) filter (where not is_holdout and ratios is not null and target_ratio is not null) train_rows,
+          count(*) filter (where is_holdout) test_rows,
+          count(*) filter (where is_holdout and (ratios is null or "level" is null)) incomplete_test_rows
+        from (select *, level_yoy_growth + ly_ratio_357 + ly_ratio_364 + ly_ratio_371 + ly_week_ratio ratios from feat) f
+        join split s on s.ds = f.ds and s.product_category = f.product_category group by 1)""",
     "last_cutoff": "select product_category, first_ds, last_ds - 90 train_last from span",
 }
 
@@ -318,7 +388,8 @@ STATEMENTS = {
           case when is_bad then null else store_region end as store_region,
           case when is_bad then null else promotion_flag end as promotion_flag)
         from (select event_date, product_category, units_sold, revenue, avg_unit_price, store_region, promotion_flag,
-              ingested_at, id, units_sold < 3 or units_sold = 50 is_bad from ev)""",
+              ingested_at, id, units_sold < 3 or units_sold in (48, 49, 50) is_bad from ev)""",
+    "replay_resume": "select * from ev",
     "type_events": f"select {EVENT_COLUMNS} from typed",
     "clean_staging": f"select {EVENT_COLUMNS} from typed where {_STAGING_OK}",
     "clean_silver": f"select {EVENT_COLUMNS} from typed where {_SILVER_OK}",
@@ -341,7 +412,13 @@ STATEMENTS = {
         count(*) - count(distinct ({KEY})) duplicate_rows from ev""",
     "duplicate_groups": f"select {KEY}, count(*) n_records from ev group by {KEY} having count(*) > 1",
     "stg_rollups": "select * from roll",
-    "bronze_new_rows": f"select {EVENT_COLUMNS} from batches where batch_seq > 1998",
+    "bronze_new_rows": "select * from ev where ingested_at >= timestamp '1998-06-15 00:00:00'",
+    "silver_audit": f"select id, {KEY}, case when year(ingested_at) <= 1998 then 'run1' else 'run2' end _silver_batch_id from latest",
+    "table_detail": "select 'product_category=' || product_category \"partition\", count(*) \"rows\" from daily group by 1",
+    "table_fingerprint": _fingerprint("ev", sorted(EVENT_COLUMNS.split(", "))),
+    "replace_model": """select ds, product_category, case when model = 'level' then 0.0 else yhat end yhat, model model_name from pred""",
+    "non_empty": """select 'events' what, case when count(*) > 0 then 'PASS' else 'FAIL' end status from ev
+        union all select 'negative events', case when count(*) > 0 then 'PASS' else 'FAIL' end from ev where units_sold < 0""",
     "upsert_newer": "select * from latest",
     "upsert_metrics": f"""select count(n.id) source_rows, count(*) filter (where o.id is null) inserted,
         count(*) filter (where n.ingested_at > o.ingested_at or (n.ingested_at = o.ingested_at and n.id > o.id)) updated,
@@ -368,7 +445,9 @@ STATEMENTS = {
     "compact_events": "select * from ev",
     "history_csv": """select event_date "date", product_category, units_sold, cast(revenue as double) revenue,
         cast(avg_unit_price as double) avg_unit_price, store_region, promotion_flag from ev""",
-    "inferred_csv": "select event_date, product_category, cast(daily_units as bigint) daily_units from daily",
+    "inferred_csv": """select event_date, product_category, cast(daily_units as bigint) daily_units,
+        cast(cast(daily_units as varchar) || '00000000000000000000' as double) big,
+        case when day(event_date) = 1 then '2024-99-99' else cast(event_date as varchar) end odd_date from daily""",
     "daily_totals": "select * from daily",
     "daily_mix": "select * from mix",
     "monthly_category": """select cast(date_trunc('month', ds) as date) sales_month, product_category,
@@ -440,12 +519,7 @@ STATEMENTS = {
     "with_holidays": f"select ds, product_category, {_holiday()} us_holiday from series",
     "lagged_level": "select ds, product_category, y, \"level\", level_last_year from levels",
     "lag_features": "select * from feat",
-    "eligible": """select *, train_rows >= 60 and test_rows > 0 and incomplete_test_rows = 0 is_eligible from (
-        select f.product_category, count(*) filter (where not is_holdout and ratios is not null and target_ratio is not null) train_rows,
-          count(*) filter (where is_holdout) test_rows,
-          count(*) filter (where is_holdout and (ratios is null or "level" is null)) incomplete_test_rows
-        from (select *, level_yoy_growth + ly_ratio_357 + ly_ratio_364 + ly_ratio_371 + ly_week_ratio ratios from feat) f
-        join split s on s.ds = f.ds and s.product_category = f.product_category group by 1)""",
+    "eligible": "select * from eligibles",
     "shift_364": "select * from shifted",
     "trailing_growth": "select * from growth",
     "seasonal_naive": "select * from naive",
@@ -470,25 +544,30 @@ STATEMENTS = {
         from (select product_category, model, 'mape' metric, mape "value" from metrics
               union all select product_category, model, 'rmse', rmse from metrics) where "value" is not null""",
     "period_means": f"select product_category, {_rounded('mean_now mean_1y_ago mean_2y_ago')} from periods",
-    "yoy_trend": f"select product_category, {_rounded('recent_avg year_earlier_avg yoy_pct')} from yoy",
-    "yoy_ranking": """select direction, row_number() over (partition by direction order by abs(yoy) desc,
-          case when yoy > 0 then product_category end, product_category desc) "position", product_category,
-          round(yoy, 6) yoy_pct
-        from (select case when yoy_pct > 0 then 'growing' else 'declining' end direction, product_category, yoy_pct yoy
-              from yoy where yoy_pct <> 0)""",
-    "forecast_yoy": """select product_category, round(forecast_avg, 6) forecast_avg, round(ly, 6) same_dates_last_year_avg,
-        round((forecast_avg - ly) / nullif(ly, 0) * 100, 6) forecast_yoy_pct,
-        round((ly - ly2) / nullif(ly2, 0) * 100, 6) prior_year_yoy_pct from fyoy""",
-    "horizon_summary": """select product_category, round(avg(yhat) filter (where horizon_days = 30), 6) days_1_30,
-        round(avg(yhat) filter (where horizon_days = 60), 6) days_31_60,
-        round(avg(yhat) filter (where horizon_days = 90), 6) days_61_90 from forward group by 1""",
+    "yoy_trend": "select * from yoy1",
+    "yoy_ranking": """select direction, row_number() over (partition by direction order by abs(yoy_pct) desc,
+          case when yoy_pct > 0 then product_category end, product_category desc) "position", product_category, yoy_pct
+        from movers""",
+    "forecast_yoy": "select * from fyoy1",
+    "horizon_summary": """select product_category, round_even(avg(yhat) filter (where horizon_days = 30), 1) days_1_30,
+        round_even(avg(yhat) filter (where horizon_days = 60), 1) days_31_60,
+        round_even(avg(yhat) filter (where horizon_days = 90), 1) days_61_90 from forward group by 1""",
     "best_model": "select product_category, best_model, mape from best",
     "win_counts": """select m.model, count(b.product_category) wins, (select count(*) from best) n_series
         from (select distinct model from metrics) m left join best b on b.best_model = m.model group by 1""",
     "won_series": "select best_model model, product_category from best",
-    "beats": """select * from (select product_category,
-          max(round_even(mape, 2)) filter (where model = 'seasonal_naive') mape_a,
-          max(round_even(mape, 2)) filter (where model = 'lag_364') mape_b from metrics group by 1) where mape_a < mape_b""",
+    "beats": _BEATS,
+    "fact_lines": _fact_lines(),
+    "best_param": """select product_category, cast(case model when 'level' then 0.001 when 'lag_364' then 0.01 else 0.1 end as double) flexibility,
+          cv_mape_0_001, null::double cv_mape_0_005, cv_mape_0_01, null::double cv_mape_0_05, cv_mape_0_1
+        from (select *, row_number() over (partition by product_category order by mape, case model when 'level' then 0 when 'lag_364' then 1 else 2 end) rn
+              from metrics where mape is not null)
+        join (select product_category, round(max(mape) filter (where model = 'level'), 3) cv_mape_0_001,
+                round(max(mape) filter (where model = 'lag_364'), 3) cv_mape_0_01, round(max(mape) filter (where model = 'seasonal_naive'), 3) cv_mape_0_1
+              from metrics group by 1) using (product_category) where rn = 1""",
+    "trend_season_contract": _contract("last_ds - 89 first_ds, last_ds", ", 0 crossed, 0 saw_holdout"),
+    "forecast_forward_contract": _contract("last_ds + 1 first_ds, last_ds + 90 last_ds", ", 0 crossed, 30 first_month"),
+    "direct_tree_contract": _contract("last_ds - 89 first_ds, last_ds") + " where product_category in (select product_category from eligibles where is_eligible)",
     "recommendation": """select a.model best_model, b.model second_model, round(b.mean_mape - a.mean_mape, 6) gap_pp,
         case when b.mean_mape - a.mean_mape < 0.5 then 'tie' when a.model = 'seasonal_naive' then 'use_primary'
              else 'switch' end recommendation
@@ -533,6 +612,13 @@ STATEMENTS = {
         cast(case series when 'Actual' then 0 when 'Forecast' then 1 else 2 end as integer) series_code from fva""",
     "stream_ingest": _latest("ev", direction="asc"),
     "stream_rollups": "select * from roll",
+    "ingest_stats": f"""select run, cast(n as bigint) consumed, cast(case run when 'first' then keys else 0 end as bigint) written,
+          cast(case run when 'first' then good - keys else good end as bigint) skipped, cast(n - good as bigint) quarantined, cast(0 as bigint) late
+        from (values ('first'), ('replay')) r(run), (select count(*) n, count(*) filter (where not is_bad) good,
+          count(distinct ({KEY})) filter (where not is_bad) keys from (select *, units_sold < 3 or units_sold in (48, 49, 50) is_bad from ev))""",
+    "stream_late": f"""select id, 'late' status from deliveries where coalesce(event_date < mark, false)
+        union all select id, 'stored' from ({_latest('deliveries', 'not coalesce(event_date < mark, false)', 'asc')})""",
+    "stream_capped": _latest("(select * from ev order by ingested_at, id limit 3500)", direction="asc"),
 }
 
 

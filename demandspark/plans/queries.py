@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import (clean, dashboard, dedupe, evaluation, facts, features, marts, naive, parity, quality,
-                         rollups, tree, trend, upsert)
+                         rollups, tree, trend, upsert, zones)
 from ..schemas import (CV_INITIAL_DAYS, CV_PERIOD_DAYS, DAILY_KEY, EVENT_KEY, EVENTS, HOLDOUT_DAYS, LEVEL_WINDOW,
                        MIN_LAG, SEASON_LAG)
 from ..session import materialize, scratch_path
@@ -115,12 +115,31 @@ def replay_slice(spark, d):
 
 
 @query
-def parse_events(spark, d):
+def replay_resume(spark, d):
+    """Four publishing runs over a stored order; the second stops before its offset is committed and is repeated. All messages."""
+    history, offsets, topic = (scratch_path(spark, n) for n in ("positions", "offsets", "topic"))
+    messages.index_positions(sales_events(spark, d), [*EVENT_KEY, "ingested_at", "id"], history)
+    _, sent = messages.publish_next(spark, history, offsets, topic, 1000)
+    messages.send_slice(spark, history, topic, sent, sent + 1500, version=2)  # stopped here
+    messages.publish_next(spark, history, offsets, topic, 1200)
+    messages.publish_next(spark, history, offsets, topic)
+    return messages.parse_events(spark.read.schema(_STREAM_SCHEMA).parquet(topic)).select(*EVENTS.names)
+
+
+def _broken_messages(spark, d) -> DataFrame:
+    """Messages of which some are cut off, some have text for a number and some lack a required field."""
     sent = messages.to_messages(sales_events(spark, d))
     units = F.get_json_object("value", "$.units_sold").cast("int")
     broken = F.when(units < 3, F.expr("substring(value, 1, length(value) - 1)")) \
-        .when(units == 50, F.regexp_replace("value", '"units_sold":50', '"units_sold":"x"')).otherwise(F.col("value"))
-    return messages.parse_events(sent.withColumn("value", broken)).drop("_corrupt_record")
+        .when(units == 50, F.regexp_replace("value", '"units_sold":50', '"units_sold":"x"')) \
+        .when(units == 49, F.regexp_replace("value", '"units_sold":49', '"units_sold":null')) \
+        .when(units == 48, F.regexp_replace("value", '"store_region":"[^"]*",?', "")).otherwise(F.col("value"))
+    return sent.withColumn("value", broken)
+
+
+@query
+def parse_events(spark, d):
+    return messages.parse_events(_broken_messages(spark, d)).drop("_corrupt_record")
 
 
 # ---- cleaning and duplicates -----------------------------------------------------------------
@@ -178,8 +197,12 @@ def stg_rollups(spark, d):
 
 @query
 def bronze_new_rows(spark, d):
-    ev = _batches(spark, d)
-    return upsert.new_rows(ev, ev.filter("batch_seq <= 1998")).drop("batch_seq")
+    """Events that a bronze table of two batches lacks; its zone map leaves known and new months unopened."""
+    bronze, zone_path, ev = scratch_path(spark, "bronze"), scratch_path(spark, "zones"), sales_events(spark, d)
+    arrived = F.year("ingested_at")
+    for name, rows in (("a", ev.filter(arrived <= 1996)), ("b", ev.filter((arrived > 1996) & (F.col("ingested_at") < "1998-06-15")))):
+        lake.append_batch(rows, bronze, name)
+    return zones.unknown_rows(ev, bronze, zone_path)[0]
 
 
 @query
@@ -243,6 +266,42 @@ def lake_recovery(spark, d):
     return spark.read.parquet(run.gold).drop("event_year")
 
 
+@query
+def silver_audit(spark, d):
+    """Which of two lake runs wrote each silver row last."""
+    root, raw = scratch_path(spark, "lake"), sales_events(spark, d)
+    stages.build_lake(spark, raw.filter(F.year("ingested_at") <= 1998), root, "run1")
+    stages.build_lake(spark, raw, root, "run2")
+    return spark.read.parquet(f"{root}/silver").select("id", *EVENT_KEY, "_silver_batch_id")
+
+
+@query
+def table_detail(spark, d):
+    """Rows per partition of the stored rollups."""
+    path = scratch_path(spark, "rollups")
+    lake.replace_partitions(_rollups(spark, d), path, ["product_category"])
+    return lake.table_detail(spark, path).select("partition", "rows")
+
+
+@query
+def table_fingerprint(spark, d):
+    """Fingerprint of the events stored in two batches; files and order do not matter."""
+    path, ev = scratch_path(spark, "batches"), sales_events(spark, d)
+    for name, rows in (("a", ev.filter("units_sold < 20")), ("b", ev.filter("units_sold >= 20"))):
+        lake.append_batch(rows, path, name)
+    return lake.fingerprint(spark.read.parquet(path).drop("_batch_id"))
+
+
+@query
+def replace_model(spark, d):
+    """Stored predictions of three models after one of them was replaced."""
+    path, predictions = scratch_path(spark, "forecast"), _baseline_predictions(_stored_series(spark, d))
+    stored = predictions.select("ds", "product_category", "yhat", F.col("model").alias("model_name"))
+    lake.replace_model_partition(stored, path)
+    lake.replace_model_partition(stored.filter("model_name = 'level'").withColumn("yhat", F.lit(0.0)), path)
+    return spark.read.parquet(path).select(*stored.columns)
+
+
 @query
 def silver_rejects(spark, d):
     """Rows that a lake run refused for silver, as it stored them."""
@@ -274,10 +333,12 @@ def history_csv(spark, d):
 
 @query
 def inferred_csv(spark, d):
-    """Daily totals exported as CSV and read back with types found from the text."""
+    """Daily totals exported as CSV and read back with types found from the text; two columns fit a pattern but not its type."""
     path = scratch_path(spark, "daily-csv")
     daily = _daily(spark, d)
-    files.write_csv(daily.select("event_date", "product_category", "daily_units"), path)
+    too_long = F.concat(F.col("daily_units").cast("string"), F.lit("0" * 20))
+    no_date = F.when(F.dayofmonth("event_date") == 1, "2024-99-99").otherwise(F.col("event_date").cast("string"))
+    files.write_csv(daily.select("event_date", "product_category", "daily_units", too_long.alias("big"), no_date.alias("odd_date")), path)
     return files.read_csv_inferred(spark, path)
 
 
@@ -387,6 +448,12 @@ def dq_unique_key(spark, d):
                                                  quality.unique_key("id")])
 
 
+@query
+def non_empty(spark, d):
+    ev = sales_events(spark, d)
+    return quality.non_empty(ev, "events").unionAll(quality.non_empty(ev.filter("units_sold < 0"), "negative events"))
+
+
 @query
 def gap_check(spark, d):
     return quality.gap_check(_daily(spark, d).withColumnRenamed("event_date", "ds"))
@@ -421,16 +488,12 @@ def reconcile(spark, d):
 
 @query
 def parity_summary(spark, d):
-    left = rollups.rollups(stages.staging_events(messy_events(spark, d)))
-    right = rollups.rollups(stages.silver_events(messy_events(spark, d)))
-    return parity.parity_summary(left, right)
+    return parity.parity_summary(*parity.rollups_by_rule(clean.type_events(messy_events(spark, d))))
 
 
 @query
 def parity_rows(spark, d):
-    left = rollups.rollups(stages.staging_events(messy_events(spark, d)))
-    right = rollups.rollups(stages.silver_events(messy_events(spark, d)))
-    return parity.parity_rows(left, right)
+    return parity.parity_rows(*parity.rollups_by_rule(clean.type_events(messy_events(spark, d))))
 
 
 @query
@@ -580,6 +643,14 @@ def rolling_cv(spark, d):
 
 @query
 def best_param(spark, d):
+    """The tuning table of a cross-validation table that needs no fit: errors of the baselines stand for three grid values."""
+    value = F.when(F.col("model") == "level", 0.001).when(F.col("model") == "lag_364", 0.01).otherwise(0.1)
+    cv = _metrics(_stored_series(spark, d)).select("product_category", value.alias("flexibility"), F.col("mape").alias("cv_mape"))
+    return trend.best_param(materialize(cv, "cv"))
+
+
+@query
+def tuned_param(spark, d):
     return trend.best_param(materialize(trend.rolling_cv(_stored_series(spark, d)), "cv"))
 
 
@@ -593,6 +664,38 @@ def direct_tree(spark, d):
     return tree.direct_tree(_series(spark, d))
 
 
+def _contract(predictions: DataFrame, *more) -> DataFrame:
+    """What any model has to keep: days predicted per series, and values that are missing or negative."""
+    return predictions.groupBy("product_category").agg(
+        F.count("*").alias("n_rows"), F.count_distinct("ds").alias("n_days"), F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"),
+        F.count_if(F.coalesce(F.col("yhat") < 0, F.lit(True))).alias("missing_or_negative"), *more)
+
+
+def _crossed():
+    return F.count_if(F.coalesce(F.col("yhat_lower") > F.col("yhat_upper"), F.lit(True)) | (F.col("yhat_lower") < 0)).alias("crossed")
+
+
+@query
+def trend_season_contract(spark, d):
+    """The holdout of the trend model; ``saw_holdout`` counts predictions that change when the holdout's actuals do."""
+    series = _stored_series(spark, d)
+    hidden = features.time_split(series).withColumn("y", F.when(F.col("is_holdout"), F.lit(0).cast("bigint")).otherwise(F.col("y")))
+    blind = trend.trend_season(hidden.select(*series.columns)).select("ds", "product_category", F.col("yhat").alias("blind"))
+    both = trend.trend_season(series).join(blind, ["ds", "product_category"], "left")
+    saw = F.count_if(F.coalesce(F.abs(F.col("yhat") - F.col("blind")) > 1e-9 * F.abs("yhat"), F.lit(True))).alias("saw_holdout")
+    return _contract(both, _crossed(), saw)
+
+
+@query
+def forecast_forward_contract(spark, d):
+    return _contract(trend.forecast_forward(_stored_series(spark, d)), _crossed(), F.count_if(F.col("horizon_days") == 30).alias("first_month"))
+
+
+@query
+def direct_tree_contract(spark, d):
+    return _contract(tree.direct_tree(_series(spark, d)))
+
+
 @query
 def trained_model_comparison(spark, d):
     series = _stored_series(spark, d)
@@ -661,8 +764,8 @@ def recommendation(spark, d):
 def fact_lines(spark, d):
     series = _stored_series(spark, d)
     forecast = naive.seasonal_naive_forward(series)
-    return facts.fact_lines(facts.yoy_trend(series), facts.forecast_yoy(forecast, series),
-                            materialize(_metrics(series), "metrics"), "seasonal_naive", BASELINE_LABELS, BASELINE_ORDER)
+    return facts.fact_lines(series, forecast, materialize(_metrics(series), "metrics"), "seasonal_naive", BASELINE_LABELS, BASELINE_ORDER,
+                            rivals=("seasonal_naive", "lag_364"))
 
 
 # ---- dashboard tables ------------------------------------------------------------------------
@@ -771,4 +874,41 @@ def stream_rollups(spark, d):
     source, silver, gold = _published(spark, d, True), scratch_path(spark, "silver"), scratch_path(spark, "gold")
     stream = messages.read_event_stream(spark, source, max_per_batch=3, schema=_STREAM_SCHEMA)
     ingest.run_available(ingest.rollup_stream(stream, silver, gold, scratch_path(spark, "checkpoint")))
-    return spark.read.parquet(gold)
+    return spark.read.parquet(f"{gold}/gold").drop("event_month")
+
+
+@query
+def ingest_stats(spark, d):
+    """Counts of an ingest run over partly broken messages, and of a replay of all of them."""
+    source, table, bad = (scratch_path(spark, n) for n in ("messages", "ingested", "quarantine"))
+    messages.write_messages(_broken_messages(spark, d), source)
+    runs = []
+    for name in ("first", "replay"):
+        stream, log = messages.read_event_stream(spark, source, schema=_STREAM_SCHEMA), scratch_path(spark, "log")
+        ingest.run_available(ingest.ingest_stream(stream, table, scratch_path(spark, "checkpoint"), bad, log=log))
+        runs.append(ingest.ingest_stats(ingest.read_log(spark, log)).withColumn("run", F.lit(name)))
+    return runs[0].unionAll(runs[1])
+
+
+@query
+def stream_late(spark, d):
+    """Three deliveries to one stream; events more than 30 days behind what came before are kept apart. Stored and late events."""
+    source, table, late, log, checkpoint = (scratch_path(spark, n) for n in ("messages", "ingested", "late", "log", "checkpoint"))
+    sent, year = messages.to_messages(sales_events(spark, d)), F.year("ingested_at")
+    for delivery in (year <= 1996, year.between(1997, 1998), year > 1998):
+        messages.write_messages(sent.filter(delivery), source)
+        stream = messages.read_event_stream(spark, source, schema=_STREAM_SCHEMA)
+        ingest.run_available(ingest.ingest_stream(stream, table, checkpoint, log=log, late=late, lateness_days=30))
+    stored, behind = (spark.read.parquet(p).select("id", F.lit(n).alias("status")) for p, n in ((table, "stored"), (late, "late")))
+    return stored.unionAll(behind)
+
+
+@query
+def stream_capped(spark, d):
+    """Two runs that end after 1,500 and 2,000 messages; the stored events."""
+    source, table, log, backlog, checkpoint = (scratch_path(spark, n) for n in ("messages", "ingested", "log", "backlog", "checkpoint"))
+    messages.write_messages(messages.to_messages(sales_events(spark, d)), source)
+    for cap in (1500, 2000):
+        stream = messages.read_event_stream(spark, source, schema=_STREAM_SCHEMA)
+        ingest.run_available(ingest.ingest_stream(stream, table, checkpoint, log=log, max_messages=cap, backlog=backlog))
+    return spark.read.parquet(table).select(*EVENTS.names)

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import types as T
 
+# Keys of the event and daily tables, and what makes an event newer (fixed values).
 EVENT_KEY = ("event_date", "product_category", "store_region")
 DAILY_KEY = ("event_date", "product_category")
 RECENCY = ("ingested_at", "id")
@@ -41,6 +42,9 @@ MESSAGE = T.StructType([
     T.StructField(CORRUPT, T.StringType()),
 ])
 
+# Fields of a message without which no event can be stored (fixed values).
+REQUIRED_FIELDS = ("date", "product_category", "units_sold", "revenue", "avg_unit_price", "store_region")
+
 EVENTS = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("event_date", T.DateType()),
@@ -64,10 +68,7 @@ ROW_TOLERANCE = {
     "wow_growth_rate": Decimal("0.000001"),
 }
 
-# Value sets and ranges of the sales domain (fixed values).
-VALID_CATEGORIES = ("Electronics", "Apparel", "Home & Garden", "Groceries", "Toys",
-                    "Sporting Goods", "Books", "Beauty")
-VALID_REGIONS = ("North", "South", "East", "West", "Online")
+# Ranges of the sales domain (fixed values).
 UNITS_RANGE = (0, 100_000)
 REVENUE_RANGE = (0, 100_000_000)
 PRICE_RANGE = (0, 10_000)

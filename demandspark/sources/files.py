@@ -30,17 +30,18 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """CSV with column types found from the text of every row.
 
     One aggregate decides all columns (one row reaches the driver); empty values do not count,
-    and a column without values stays text.
+    and a column without values stays text. A type is taken only if every value fits it: numbers
+    too large for a bigint make a column of doubles, an impossible date makes it text.
     """
     raw = spark.read.csv(path, header=True, inferSchema=False)
     checks = [F.count(_text(c)).alias(f"{i}|n") for i, c in enumerate(raw.columns)]
-    checks += [F.count_if(~_text(c).rlike(pattern)).alias(f"{i}|{kind}")
+    checks += [F.count_if(~_text(c).rlike(pattern) | (_text(c).isNotNull() & _text(c).try_cast(kind).isNull())).alias(f"{i}|{kind}")
                for i, c in enumerate(raw.columns) for kind, pattern in TYPE_PATTERNS]
     found = raw.agg(*checks).first().asDict()
     columns = []
     for i, name in enumerate(raw.columns):
         kinds = [kind for kind, _ in TYPE_PATTERNS if found[f"{i}|n"] and not found[f"{i}|{kind}"]]
-        columns.append(_text(name).try_cast(kinds[0]).alias(name) if kinds else F.col(f"`{name}`"))
+        columns.append(_text(name).cast(kinds[0]).alias(name) if kinds else F.col(f"`{name}`"))
     return raw.select(*columns)
 
 

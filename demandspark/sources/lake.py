@@ -23,6 +23,24 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and the file system it is in."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a partition column by the names of its folders, ascending; no file is opened."""
+    folder, system = _folder(spark, path)
+    names = [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
+    return sorted(n.partition("=")[2] for n in names if n.startswith(f"{column}="))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder, system = _folder(spark, path)
+    system.delete(folder, True)
+
+
 def append_batch(df: DataFrame, path: str, batch_id: str, partition_by: Sequence[str] = ()) -> None:
     """Add one batch under its own ``_batch_id`` folder; writing the same batch again replaces it.
 
@@ -136,6 +154,34 @@ def staged_replace(df: DataFrame, path: str, by: Sequence[str]) -> None:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """One row that changes with the content of a table, but not with its order or files."""
-    row = F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")
-    return df.agg(F.count("*").alias("rows"), F.sum(row).alias("hash_sum"))
+    """One row that changes with the content of a table, but not with its order or files.
+
+    A row is hashed as the text of its columns in the order of their names, each behind its length, a null as ``-``; the two
+    sums take 60 bits each of the MD5.
+    """
+    texts = [F.col(f"`{c}`").cast("string") for c in sorted(df.columns)]
+    row = F.md5(F.concat_ws(",", *[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))
+    half = lambda start: F.sum(F.conv(F.substring(row, start, 15), 16, 10).cast("decimal(38,0)")).cast("decimal(38,0)")
+    return df.agg(F.count("*").alias("rows"), half(1).alias("hash_low"), half(16).alias("hash_high"))
+
+
+def file_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """Every stored file below ``path``: its place in the table, bytes and SHA-256. A task reads one file at a time."""
+    folder, system = _folder(spark, path)
+    root = system.makeQualified(folder).toString()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    place = F.expr(f"substring(path, {len(root) + 2})")
+    return files.select(place.alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def seal(spark: SparkSession, path: str, seals: str, batch_id: str) -> None:
+    """Record the hashes of a table's files under a batch, to prove later that they are unchanged."""
+    append_batch(file_hashes(spark, path), seals, batch_id)
+
+
+def broken_seals(spark: SparkSession, path: str, seals: str, batch_id: str) -> DataFrame:
+    """Files that changed, are missing or were added since the table was sealed; no rows prove it unchanged."""
+    then = spark.read.parquet(f"{seals}/_batch_id={batch_id}").select("file", F.col("sha256").alias("sealed"))
+    joined = file_hashes(spark, path).select("file", "sha256").join(then, "file", "full_outer")
+    change = F.when(F.col("sealed").isNull(), "added").when(F.col("sha256").isNull(), "missing").when(F.col("sealed") != F.col("sha256"), "changed")
+    return joined.select("file", change.alias("change")).filter("change is not null")

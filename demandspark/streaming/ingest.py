@@ -1,9 +1,12 @@
-"""Structured Streaming: message ingest and rollups kept current.
+"""Structured Streaming: message ingest with counts, late events and caps, and rollups kept current.
 
-Both sinks are ``foreachBatch`` writers whose effect does not depend on how often a batch is
-delivered: an interrupted batch is run again by Spark under the same batch number and replaces
-its own output, and a message sent twice is recognised by its natural key in the table. Exact
-deduplication therefore needs no streaming state.
+All sinks are ``foreachBatch`` writers whose effect does not depend on how often a batch is delivered: an
+interrupted batch is run again by Spark under the same batch number and replaces its own output, and a message sent
+twice is recognised by its natural key in the table. Exact deduplication therefore needs no streaming state.
+
+What a batch did is one row of the ingest log (``log``): messages consumed, written, skipped, quarantined, late and put
+off, and the latest event date seen. The log drives the rest: the watermark that decides what is late, and what a capped run
+still has to take.
 """
 
 from __future__ import annotations
@@ -11,18 +14,27 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators.dedupe import dedupe_first
-from ..operators.rollups import daily_totals, with_trends
-from ..operators.upsert import MONTH, merge_into, months_in
-from ..schemas import EVENT_KEY, EVENTS
+from ..operators.indexing import with_row_index
+from ..operators.upsert import MONTH, months_in
+from ..schemas import CORRUPT, EVENT_KEY, EVENTS
 from ..session import staged
-from ..sources.lake import append_batch, replace_partitions, table_exists
+from ..sources.lake import append_batch, table_exists
 from ..sources.messages import parse_events
+from .views import merge_and_refresh
+
+LOG = ("run string, number bigint, part bigint, consumed bigint, written bigint, skipped bigint, quarantined bigint, late bigint, put_off bigint, "
+       "latest date, recorded_at timestamp")
+COUNTS = ("consumed", "written", "skipped", "quarantined", "late")
+_ORDER = ("ingested_at", "id", *EVENT_KEY, "units_sold", "revenue", "avg_unit_price", "promotion_flag", CORRUPT)
 
 
 def _events(messages: DataFrame) -> DataFrame:
@@ -34,29 +46,153 @@ def _events(messages: DataFrame) -> DataFrame:
         parsed = parse_events(messages.withColumn("ingested_at", arrival.cast("timestamp_ntz")))
     if "id" not in parsed.columns:
         parsed = parsed.withColumn("id", F.xxhash64(*EVENT_KEY, "units_sold", "revenue", "avg_unit_price"))
-    return parsed
+    return parsed.select(*EVENTS.names, "is_bad", CORRUPT)
 
 
 @contextmanager
-def _split(messages: DataFrame, quarantine: str | None, batch_name: str) -> Iterator[DataFrame]:
-    """The good events of a batch, stored for the length of the batch; bad messages go to the
-    quarantine folder, or fail the batch if there is none."""
-    with staged(_events(messages), "parsed") as parsed:
-        bad = parsed.filter("is_bad").select("_corrupt_record")
-        if not bad.isEmpty():
-            if not quarantine:
-                raise ValueError("malformed messages and no quarantine folder")
-            append_batch(bad, quarantine, batch_name)
-        yield parsed.filter(~F.col("is_bad")).select(*EVENTS.names)
-
-
-def _stored_keys(spark: SparkSession, path: str, batch: DataFrame, batch_name: str) -> DataFrame:
+def _observed(parsed: DataFrame, mark: date | None = None) -> Iterator[tuple[DataFrame, dict]]:
+    """Parsed messages stored for the length of the block, with counts taken while they are written; events before ``mark`` are late."""
+    seen = Observation()
+    late = F.count_if(F.col("event_date") < F.lit(mark)) if mark else F.lit(0).cast("bigint") * F.count(F.lit(1))
+    counts = (F.count(F.lit(1)).alias("consumed"), F.count_if("is_bad").alias("quarantined"), late.alias("late"), F.max("event_date").alias("latest"))
+    with staged(parsed.observe(seen, *counts), "parsed") as stored:
+        yield stored, seen.get
+
+
+def _quarantine(parsed: DataFrame, found: int, quarantine: str | None, name: str) -> DataFrame:
+    """The good events; bad messages go to the quarantine folder, or fail the batch if there is none."""
+    if found:
+        if not quarantine:
+            raise ValueError("malformed messages and no quarantine folder")
+        append_batch(parsed.filter("is_bad").select(CORRUPT), quarantine, name)
+    return parsed.filter(~F.col("is_bad")).select(*EVENTS.names)
+
+
+def _stored_keys(spark: SparkSession, path: str, batch: DataFrame, name: str) -> DataFrame:
     """Keys already in the table, in the months the batch touches, from other batches."""
     months = months_in(batch)
     if not table_exists(spark, path):
         return batch.limit(0).select(*EVENT_KEY)
     table = spark.read.parquet(path)
-    return table.filter(F.col(MONTH).isin(months) & (F.col("_batch_id").cast("string") != batch_name)).select(*EVENT_KEY)
+    return table.filter(F.col(MONTH).isin(months) & (F.col("_batch_id").cast("string") != name)).select(*EVENT_KEY)
+
+
+def _run_name(checkpoint: str) -> str:
+    # A new checkpoint counts its batches from 0 again; the prefix keeps both runs apart.
+    return hashlib.sha256(checkpoint.encode()).hexdigest()[:8]
+
+
+def read_log(spark: SparkSession, log: str) -> DataFrame:
+    """The ingest log; empty if there is none yet."""
+    if not table_exists(spark, log):
+        return spark.createDataFrame([], LOG)
+    return spark.read.schema(LOG).parquet(log)
+
+
+def ingest_stats(log: DataFrame) -> DataFrame:
+    """Per run (checkpoint): messages consumed = written + skipped + quarantined + late."""
+    return log.groupBy("run").agg(*[F.sum(c).alias(c) for c in COUNTS])
+
+
+@dataclass
+class _Admission:
+    """How many messages a run may still take."""
+
+    remaining: int | None
+    closed: bool = False
+
+    def take(self, wanted: int) -> int:
+        if self.remaining is None:
+            return wanted
+        taken = min(wanted, self.remaining)
+        self.remaining -= taken
+        return taken
+
+
+class _CapReached(Exception):
+    """Ends a run before its next batch, which stays uncommitted and is the first of the next run."""
+
+
+@dataclass
+class _Sink:
+    """Where the events of a run go."""
+
+    table: str
+    run: str
+    quarantine: str | None
+    log: str | None
+    late: str | None
+    lateness_days: int
+    backlog: str | None
+
+    def watermark(self, spark: SparkSession, number: int) -> date | None:
+        """The latest event date of earlier batches of the run, less the allowed lateness; none for the first batch."""
+        if not self.late:
+            return None
+        earlier = read_log(spark, self.log).filter((F.col("run") == self.run) & (F.col("number") < number))
+        return earlier.agg(F.date_sub(F.max("latest"), self.lateness_days)).first()[0]
+
+    def set_late_apart(self, good: DataFrame, mark: date, name: str) -> None:
+        """Late events go to the side table, each once."""
+        behind, identity = good.filter(F.col("event_date") < F.lit(mark)), ["id", *EVENT_KEY]
+        if table_exists(good.sparkSession, self.late):
+            known = good.sparkSession.read.parquet(self.late).filter(F.col("_batch_id").cast("string") != name).select(*identity)
+            behind = behind.join(known, identity, "left_anti")
+        append_batch(behind, self.late, name)
+
+    def store(self, parsed: DataFrame, counts: dict, mark: date | None, number: int, part: int, put_off: int) -> None:
+        """Insert-ignore of one batch (``part`` 0) or of a part of what an earlier batch put off, and its row in the log."""
+        spark, name = parsed.sparkSession, f"{self.run}-{number}" + (f"-{part}" if part else "")
+        good = _quarantine(parsed, counts["quarantined"], self.quarantine, name)
+        if counts["late"]:
+            self.set_late_apart(good, mark, name)
+            good = good.filter(F.col("event_date") >= F.lit(mark))
+        events = good.withColumn(MONTH, F.trunc("event_date", "MM"))
+        new, seen = dedupe_first(events, _stored_keys(spark, self.table, events, name)), Observation()
+        append_batch(new.observe(seen, F.count(F.lit(1)).alias("written")), self.table, name, [MONTH])
+        if self.log:
+            written = seen.get["written"]
+            skipped = counts["consumed"] - counts["quarantined"] - counts["late"] - written
+            row = (self.run, number, part, counts["consumed"], written, skipped, counts["quarantined"], counts["late"], put_off, counts["latest"])
+            columns = LOG.removesuffix(", recorded_at timestamp")
+            append_batch(spark.createDataFrame([row], columns).withColumn("recorded_at", F.current_timestamp()), self.log, name)
+
+    def batch(self, messages: DataFrame, number: int, admission: _Admission) -> None:
+        """One micro-batch: as much of it as the run may still take; the rest is put off to the backlog."""
+        if admission.remaining == 0:
+            admission.closed = True
+            raise _CapReached
+        mark = self.watermark(messages.sparkSession, number)
+        with _observed(_events(messages), mark) as (parsed, counts):
+            taken = counts["consumed"]
+            if admission.remaining is not None:
+                mine = (F.col("run") == self.run) & (F.col("number") == number) & (F.col("part") == 0)
+                before = read_log(messages.sparkSession, self.log).filter(mine).first()
+                taken = admission.take(taken) if before is None else before.consumed  # delivered again: the same cut
+            put_off = counts["consumed"] - taken
+            if not put_off:
+                self.store(parsed, counts, mark, number, 0, 0)
+                return
+            placed = with_row_index(parsed, list(_ORDER), "place")
+            append_batch(placed.filter(F.col("place") > taken), self.backlog, f"{self.run}-{number}")
+            self.take_part(placed.filter(F.col("place") <= taken), number, 0, put_off)
+
+    def take_part(self, rows: DataFrame, number: int, part: int, put_off: int) -> None:
+        mark = self.watermark(rows.sparkSession, number)
+        with _observed(rows.select(*EVENTS.names, "is_bad", CORRUPT), mark) as (parsed, counts):
+            self.store(parsed, counts, mark, number, part, put_off)
+
+    def drain(self, spark: SparkSession, admission: _Admission) -> None:
+        """First what earlier batches of the run put off, in their order, as far as the run may take."""
+        log = read_log(spark, self.log).filter(F.col("run") == self.run)
+        open_batches = (log.groupBy("number").agg(F.max("put_off").alias("put_off"), F.sum("consumed").alias("place"),
+                                                  F.sum(F.when(F.col("part") > 0, F.col("consumed")).otherwise(0)).alias("done"))
+                        .filter("done < put_off").orderBy("number").collect())  # batches cut by a cap: one a run
+        for row in open_batches:
+            taken = admission.take(row.put_off - row.done)
+            if taken:
+                held = spark.read.parquet(f"{self.backlog}/_batch_id={self.run}-{row.number}")
+                self.take_part(held.filter(F.col("place").between(row.place + 1, row.place + taken)), row.number, row.place, 0)
 
 
 def _start(stream: DataFrame, write_batch, checkpoint: str) -> StreamingQuery:
@@ -64,62 +200,58 @@ def _start(stream: DataFrame, write_batch, checkpoint: str) -> StreamingQuery:
             .trigger(availableNow=True).start())
 
 
-def _batch_name(checkpoint: str, batch: int) -> str:
-    # A new checkpoint counts its batches from 0 again; the prefix keeps both runs apart.
-    return f"{hashlib.sha256(checkpoint.encode()).hexdigest()[:8]}-{batch}"
-
-
 def ingest_stream(messages: DataFrame, table: str, checkpoint: str, quarantine: str | None = None,
-                  dedupe: str = "table", watermark: str = "1 day") -> StreamingQuery:
+                  dedupe: str = "table", watermark: str = "1 day", log: str | None = None, late: str | None = None,
+                  lateness_days: int = 30, max_messages: int | None = None, backlog: str | None = None) -> StreamingQuery:
     """Insert-ignore ingest: new natural keys are appended, known ones skipped.
 
     The query reads what is available and stops; the checkpoint makes the next run resume, a new
-    checkpoint replays from the start. ``dedupe="watermark"`` also drops repeats inside the
-    watermark before the table is asked, which needs a ``timestamp`` column; it also drops events that
-    arrive later than the watermark. Keep the default where late events must be accepted.
+    checkpoint replays from the start.
+
+    * ``log``: a folder for one row of counts per batch (``ingest_stats`` sums them).
+    * ``late``: a folder for events whose date lies more than ``lateness_days`` before the latest date of earlier batches;
+      they are kept there instead of in the table. Needs ``log``. By default late events are accepted.
+    * ``max_messages``: the run ends after exactly that many messages, bad and repeated ones included. What the last
+      batch holds beyond is put off to ``backlog``, in order of arrival, and taken first by the next run. Needs ``log``.
+    * ``dedupe="watermark"`` also drops repeats inside the watermark before the table is asked, which needs a ``timestamp``
+      column; it drops events that arrive later than the watermark uncounted. Prefer ``late``.
     """
     if dedupe not in ("table", "watermark"):
         raise ValueError("dedupe must be 'table' or 'watermark'")
+    if (late or max_messages is not None) and not log or max_messages is not None and not backlog:
+        raise ValueError("late events and caps need a log, caps a backlog folder as well")
     if dedupe == "watermark":
         messages = messages.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(["key"])
-
-    def write_batch(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        name = _batch_name(checkpoint, number)
-        with _split(batch, quarantine, name) as good:
-            events = good.withColumn(MONTH, F.trunc("event_date", "MM"))
-            new = dedupe_first(events, _stored_keys(spark, table, events, name))
-            append_batch(new, table, name, [MONTH])
-
-    return _start(messages, write_batch, checkpoint)
+    sink = _Sink(table, _run_name(checkpoint), quarantine, log, late, lateness_days, backlog)
+    admission = _Admission(max_messages)
+    if backlog and log:
+        sink.drain(messages.sparkSession, admission)
+    query = _start(messages, lambda batch, number: sink.batch(batch, number, admission), checkpoint)
+    query.admission = admission
+    return query
 
 
-def refresh_rollups(batch: DataFrame, silver: str, gold: str) -> None:
-    """Recompute the rollups of the categories that occur in ``batch``; other categories stay.
+def rollup_stream(messages: DataFrame, silver: str, view: str, checkpoint: str,
+                  quarantine: str | None = None) -> StreamingQuery:
+    """Latest-wins upsert of every batch into silver, then a refresh of the view on the days it changed.
 
-    The restriction is written after the daily aggregate, where a category has one row per day:
-    a category with very many events is never gathered in one task. While the touched names are
-    few enough to broadcast, the optimizer moves it before the aggregate by itself.
+    The rollups are in ``view``/gold, by month. A batch costs what it touches, however long the history is.
     """
-    spark = batch.sparkSession
-    touched = batch.select("product_category").distinct()
-    daily = daily_totals(spark.read.parquet(silver)).join(touched, "product_category", "left_semi")
-    replace_partitions(with_trends(daily, "daily_units"), gold, ["product_category"])
-
-
-def rollup_stream(messages: DataFrame, silver: str, gold: str, checkpoint: str,
-                  quarantine: str | None = None) -> StreamingQuery:
-    """Latest-wins upsert of every batch into silver, then a refresh of the touched rollups."""
     def write_batch(batch: DataFrame, number: int) -> None:
-        with _split(batch, quarantine, _batch_name(checkpoint, number)) as events:
-            merge_into(batch.sparkSession, silver, events)
-            if not events.isEmpty():
-                refresh_rollups(events, silver, gold)
+        name = f"{_run_name(checkpoint)}-{number}"
+        with _observed(_events(batch)) as (parsed, counts):
+            events = _quarantine(parsed, counts["quarantined"], quarantine, name)
+            merge_and_refresh(batch.sparkSession, silver, view, events, name)
 
     return _start(messages, write_batch, checkpoint)
 
 
 def run_available(query: StreamingQuery) -> StreamingQuery:
-    """Wait until the query has read everything that was available, and raise its error if any."""
-    query.awaitTermination()
+    """Wait until the query has read everything that was available or its cap is reached, and raise its error if any."""
+    capped = getattr(query, "admission", None)
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        if capped is None or not capped.closed:
+            raise
     return query

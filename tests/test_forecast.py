@@ -126,6 +126,14 @@ def test_tuning(series):
     assert {r.product_category: r.flexibility for r in best} == lowest
 
 
+def test_folds_from_running_sums_equal_refits(series):
+    s = series({"A": wave(1300), "B": wave(1000, 300, 0.1), "C": [(k * k) % 97 for k in range(900)], "short": wave(200)})
+    keys = ["product_category", "cutoff", "ds", "flexibility"]
+    both = trend.cv_predictions(s).join(trend.cv_refits(s).withColumnRenamed("yhat", "refit").drop("y"), keys, "full_outer").collect()
+    assert len(both) == trend.cv_refits(s).count() and {r.product_category for r in both} == {"A", "B", "C"}
+    assert all(abs(r.yhat - r.refit) <= 1e-6 * max(1.0, abs(r.refit)) for r in both)
+
+
 def test_best_param_prefers_the_smaller_on_a_tie(spark):
     cv = spark.createDataFrame([("A", 0.05, 5.0), ("A", 0.01, 5.0), ("A", 0.1, 6.0)],
                                "product_category string, flexibility double, cv_mape double")

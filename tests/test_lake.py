@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from demandspark.operators import quality, rollups, upsert
+from demandspark.operators import quality, rollups, upsert, zones
 from demandspark.operators.dedupe import dedupe_latest
 from demandspark.plans import stages
 from demandspark.schemas import EVENT_KEY, EVENTS
@@ -157,6 +157,80 @@ def test_fingerprint(events):
     assert lake.fingerprint(ev).first() != lake.fingerprint(ev.withColumn("units_sold", F.lit(1))).first()
 
 
+def test_seals_show_changed_files(spark, tmp_path):
+    path, seals = str(tmp_path / "t"), str(tmp_path / "seals")
+    spark.range(4).selectExpr("id", "id % 2 p").write.partitionBy("p").parquet(path)
+    lake.seal(spark, path, seals, "b1")
+    assert lake.broken_seals(spark, path, seals, "b1").isEmpty()
+    assert {r.file.split("/")[0] for r in lake.file_hashes(spark, path).collect()} == {"p=0", "p=1"}
+    spark.range(9).selectExpr("id", "2 p").write.mode("append").partitionBy("p").parquet(path)
+    first = sorted((tmp_path / "t" / "p=0").glob("*.parquet"))
+    first[0].write_bytes(first[0].read_bytes() + b"x")
+    (first[0].parent / f".{first[0].name}.crc").unlink(missing_ok=True)
+    for file in (tmp_path / "t" / "p=1").glob("*.parquet"):
+        file.unlink()
+    changes = {r.file.split("/")[0]: r.change for r in lake.broken_seals(spark, path, seals, "b1").collect()}
+    assert changes == {"p=0": "changed", "p=1": "missing", "p=2": "added"}
+
+
+def arrivals(events, *months, first=0):
+    rows = events(*[(first + k, 1 + k % 28, "A", "N", k, 1) for k in range(4 * len(months))])
+    month = F.element_at(F.array(*[F.lit(m) for m in months]), (F.col("id") % len(months) + 1).cast("int"))
+    return rows.withColumn("ingested_at", F.concat(month, F.lit("-03 10:00:00")).cast("timestamp_ntz"))
+
+
+def test_only_batches_that_may_hold_rows_are_opened(spark, events, tmp_path):
+    table, zone_path = str(tmp_path / "bronze"), str(tmp_path / "zones")
+    batches = {"a": arrivals(events, "2021-01", "2021-02"), "b": arrivals(events, "2021-03", first=100), "c": arrivals(events, "2021-03", "2021-04", first=200)}
+    for name, rows in batches.items():
+        lake.append_batch(rows, table, name)
+    everything = batches["a"].unionAll(batches["b"]).unionAll(batches["c"])
+    new = arrivals(events, "2021-04", "2021-05", first=300)
+    fresh, opened = zones.unknown_rows(everything.unionAll(new), table, zone_path)
+    assert opened == ["c"]                                       # April is in it; May is new, the others are known
+    assert rows_of(fresh, "id") == sorted(rows_of(new, "id"))
+    assert zones.unknown_rows(everything, table, zone_path)[1] == []
+    fresh, opened = zones.unknown_rows(batches["b"].filter("id > 101").unionAll(new), table, zone_path)
+    assert opened == ["b", "c"] and rows_of(fresh, "id") == rows_of(new, "id")
+    changed = everything.withColumn("id", F.when(F.col("id") == 1, 999).otherwise(F.col("id")))
+    fresh, opened = zones.unknown_rows(changed, table, zone_path)
+    assert opened == ["a"] and rows_of(fresh, "id") == [(999,)]
+    fresh, opened = zones.unknown_rows(everything, table, zone_path, skip="b")
+    assert opened == ["c"] and rows_of(fresh, "id") == rows_of(batches["b"], "id")
+
+
+def test_rows_without_arrival_time(spark, events, tmp_path):
+    table, zone_path = str(tmp_path / "bronze"), str(tmp_path / "zones")
+    rows = events(*[(k, 1, "A", "N", k, 1) for k in range(4)])
+    blank = rows.withColumn("ingested_at", F.when(F.col("id") < 2, F.lit(None)).otherwise(F.col("ingested_at")))
+    lake.append_batch(blank.filter("id <> 1"), table, "a")
+    fresh, opened = zones.unknown_rows(blank, table, zone_path)
+    assert opened == ["a"] and rows_of(fresh, "id") == [(1,)]
+
+
+def test_lake_run_opens_few_batches(spark, events, tmp_path, monkeypatch):
+    raw, root, opened = arrivals(events, "2021-01", "2021-02", "2021-03"), str(tmp_path), []
+    original = stages.unknown_rows
+
+    def noted(*args, **kwargs):
+        fresh, names = original(*args, **kwargs)
+        opened.append(names)
+        return fresh, names
+    monkeypatch.setattr(stages, "unknown_rows", noted)
+    for k, month in enumerate(("2021-02", "2021-03", "2021-04")):
+        stages.build_lake(spark, raw.filter(F.col("ingested_at") < f"{month}-01"), root, f"b{k}")
+    assert opened == [[], [], []] and spark.read.parquet(f"{root}/bronze").count() == 12
+
+
+def test_silver_rows_carry_their_batch(spark, events, tmp_path):
+    root = str(tmp_path)
+    stages.build_lake(spark, events((1, 1, "A", "N", 5, 1), (2, 2, "A", "N", 5, 1)), root, "b1")
+    stages.build_lake(spark, events((1, 1, "A", "N", 5, 1), (2, 2, "A", "N", 5, 1), (3, 2, "A", "N", 9, 2), (4, 3, "A", "N", 1, 2)), root, "b2")
+    silver = spark.read.parquet(f"{root}/silver")
+    assert rows_of(silver, "id", "_silver_batch_id") == [(1, "b1"), (3, "b2"), (4, "b2")]
+    assert silver.filter("_silver_at is null").isEmpty()
+
+
 def test_gate_refuses_the_whole_batch(events):
     good = events((1, 1, "A", "N", 5, 1))
     assert quality.assert_constraints(good, EVENTS) is good
