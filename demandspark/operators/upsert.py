@@ -41,9 +41,9 @@ def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return df.select(*keys, F.struct(*[c for c in df.columns if c not in keys]).alias(prefix))
 
 
-def _matched(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def _matched(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str], unique: bool) -> DataFrame:
     """Target and latest update side by side, one row per key. Null key parts are equal to each other."""
-    latest = dedupe_latest(updates, keys, order, target.columns)
+    latest = updates.select(*target.columns) if unique else dedupe_latest(updates, keys, order, target.columns)
     new = _prefixed(latest, keys, "_new").select("_new", *[F.col(k).alias(f"_key_{k}") for k in keys])
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys))
     joined = _prefixed(target, keys, "_old").join(new, same, "full_outer")
@@ -74,14 +74,14 @@ def _merged(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: S
     return marked.select(*[F.col(c) if c in keys else F.when(taken, F.col(f"_1_{c}")).otherwise(F.col(f"_0_{c}")).alias(c) for c in columns], "_change")
 
 
-def _upserted(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The upserted table with what happened to each row (``_change``)."""
+def _upserted(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str], unique: bool = False) -> DataFrame:
+    """The upserted table with what happened to each row (``_change``). ``unique``: the updates have one row per key already."""
     merged = _merged(target, updates, keys, order)
     if merged is not None:
         return merged
     change = F.when(F.col("_old").isNull(), "inserted").when(F.col("_new").isNull(), "kept") \
         .when(_newer(order), "updated").otherwise("unchanged")
-    joined = _matched(target, updates, keys, order).withColumn("_change", change)
+    joined = _matched(target, updates, keys, order, unique).withColumn("_change", change)
     row = F.when(F.col("_change").isin("inserted", "updated"), F.col("_new")).otherwise(F.col("_old"))
     return joined.withColumn("_row", row).select(
         *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in target.columns], "_change")
@@ -127,7 +127,7 @@ def merge_into(spark: SparkSession, path: str, updates: DataFrame, keys: Sequenc
             touched = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).select(*batch.columns)
         else:
             touched = batch.limit(0)
-        with staged(_upserted(touched, batch, keys, order), "merged") as merged:
+        with staged(_upserted(touched, batch, keys, order, unique=True), "merged") as merged:
             metrics = _counts(merged).first().asDict()
             altered = merged.filter(F.col("_change").isin("inserted", "updated"))
             changed = months_in(altered)

@@ -9,7 +9,8 @@ State of a view, all partitioned by month:
 
 A changed day moves the rolling means of the 29 days behind it and the weekly growth of the seven rows behind it. To compute
 those, 29 days and seven rows ahead are read as well. Usually that is the month before and the month after; a
-sparse series whose seven rows lie further away widens the span for its own.
+sparse series whose seven rows lie further away widens the span for its own, and a series that has not had seven rows yet is
+looked for in the earlier months of ``daily`` (never in the events).
 """
 
 from __future__ import annotations
