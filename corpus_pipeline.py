@@ -20,31 +20,37 @@ LEAST_QUALITY = 0.5
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the byte-level network scores at ``LEAST_QUALITY`` or more; it never sees the held-out labels."""
+    """Documents that the byte-level network scores at ``LEAST_QUALITY`` or more; it never sees the held-out labels.
+
+    Null and empty texts are scored like texts without bytes, equal texts alike, whatever their ids; an empty table stays empty.
+    """
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = bytenet.quality_model(documents, labels, bytenet.remainder(4) != 2)
     return bytenet.score(docs, model).where(F.col("score") >= LEAST_QUALITY).select("rest.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near duplicates."""
+    """One document, that with the smallest id, of each group of near duplicates; how nulls, ties and repeated rows are settled says
+    ``jaccard.one_per_component``."""
     return jaccard.one_per_component(docs)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the words of passages that occur elsewhere, too; ``n_chars`` follows the text."""
+    """Texts without the words of passages that occur elsewhere, too; ``n_chars`` follows the text. Every row stays, if need be
+    with an empty text; a null text stays null."""
     left = substrings.remove_repeats(docs, keep_text=True)
     changed = {"text": F.col("kept_text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("rest.n_chars"))}
     return left.select(*[changed.get(c, F.col(f"rest.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated so that each source holds its share of the mixture, in mixed order."""
+    """Documents repeated so that each source holds its share of the mixture, in mixed order. Sources without text leave; rows
+    without an id draw each on their own."""
     return mixing.mix(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in training sequences, in mixed order."""
+    """Pieces of the documents in training sequences, in mixed order; a null or empty text is its end id."""
     return packing.pack(docs)
 
 

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -202,6 +203,61 @@ def test_outliers_go_and_clean_rows_stay(docs):
     assert not any(kept[1000 + k] for k in range(40)) and sum(kept[k] for k in range(400)) >= 392
 
 
+def brute_determinant(points, core):
+    """Exact concentration steps on whole points, from the operator's starts and from many random ones: the smallest determinant."""
+    floors, h = np.array(outliers.FLOORS), int(np.ceil(core * len(points)))
+
+    def held(cov):
+        lower = np.zeros_like(cov)
+        for i in range(5):
+            for j in range(i + 1):
+                value = cov[i, j] - lower[i, :j] @ lower[j, :j]
+                lower[i, j] = np.sqrt(max(value, floors[i] ** 2)) if i == j else value / lower[j, j]
+        return lower
+    p25, p50, p75 = np.percentile(points, [25, 50, 75], axis=0)
+    spread = (p75 - p25) / 1.349
+    starts = [(p50, np.diag(spread ** 2)), (points.mean(0), np.cov(points.T, bias=True)), (p25, np.diag(spread ** 2 / 4))]
+    draw = np.random.default_rng(1)
+    starts += [(s.mean(0), np.cov(s.T, bias=True)) for s in (points[draw.choice(len(points), 12, replace=False)] for _ in range(40))]
+    found = []
+    for mean, cov in starts:
+        for _ in range(30):
+            d = (np.linalg.solve(held(cov), (points - mean).T) ** 2).sum(0)
+            near = points[np.argsort(d, kind="stable")[:h]]
+            mean, cov = near.mean(0), outliers.CORE_FACTOR * np.cov(near.T, bias=True)
+        found.append((2 * np.log(np.diag(held(cov))).sum(), mean, held(cov)))
+    return min(found, key=lambda f: f[0])
+
+
+def test_outliers_equal_a_plain_determinant_search(docs):
+    """The operator's determinant comes close to the best of a search over all rows, and its verdicts equal that search's."""
+    draw = np.random.default_rng(8)
+    clean = [(k, prose(k, int(draw.integers(40, 300))) + "\n# " * int(draw.integers(0, 3))) for k in range(500)]
+    masked = [(1000 + k, "\n".join(["same line | %"] * 9 + [prose(7000 + k, 60)])) for k in range(90)]  # a second cloud that masks itself
+    frame = docs(*clean, *masked).withColumn("lang", F.lit("en")).withColumn("source", F.lit("s"))
+    stats = outliers.vectors(outliers.statistics(frame)).collect()
+    usable = [r for r in stats if r.n_words >= 10 and 100 * r.n_repeat_words <= 20 * r.n_words]
+    points = np.array([[r[x] for x in outliers.VECTOR] for r in usable])
+    log_det, mean, lower = brute_determinant(points, 0.75)
+    for _ in range(1):  # once more from all rows that fit
+        near = points[(np.linalg.solve(lower, (points - mean).T) ** 2).sum(0) <= outliers.FITS]
+        mean, cov = near.mean(0), np.cov(near.T, bias=True)
+    lower = np.zeros((5, 5))
+    for i in range(5):
+        for j in range(i + 1):
+            value = cov[i, j] - lower[i, :j] @ lower[j, :j]
+            lower[i, j] = np.sqrt(max(value, outliers.FLOORS[i] ** 2)) if i == j else value / lower[j, j]
+    distance = {r.doc_id: d for r, d in zip(usable, (np.linalg.solve(lower, (points - mean).T) ** 2).sum(0), strict=True)}
+    rows = outliers._grouped(outliers.vectors(outliers.statistics(frame)).withColumn("base_failed", F.lit(False)), 60)
+    usable_ids = rows.where(F.col("doc_id").isin([r.doc_id for r in usable])).select("pool", *outliers.VECTOR)
+    best = outliers.smallest_determinants(usable_ids, 0.75, 12).first()
+    assert best.log_det <= log_det + 0.1
+    got = {r.doc_id: r for r in outliers.quality_verdicts(frame).collect()}
+    sure = {i: d for i, d in distance.items() if abs(d / outliers.CUTOFF - 1) > 0.1}  # classes of distance are a sixteenth wide
+    assert len(sure) > 0.95 * len(distance) and all(got[i].kept == (d <= outliers.CUTOFF) for i, d in sure.items())
+    assert not any(got[1000 + k].kept for k in range(90))
+
+
 def test_small_groups_count_usable_rows_only(docs):
     rows = [(k, prose(k, 60 + k % 90)) for k in range(40)] + [(100 + k, "few words") for k in range(40)]
     frame = docs(*rows).withColumn("lang", F.lit("en")).withColumn("source", F.lit("s"))
@@ -285,6 +341,40 @@ def test_network_gradient():
         assert abs((loss(up) - loss(down)) / 2e-4 - found[key][spot]) < 2e-3
 
 
+def brute_signatures(text):
+    """One spot after the other, from the description: anchors, the start, and words far from any anchor; two content words behind each."""
+    words = [w.strip(b".,;:!?\"'()[]|%&$#*") or w for w in text.lower().encode().split()]
+    if not words:
+        return set()
+    hashes = [xxhash.xxh3_64_intdigest(w) & ~1 | (w in spots.ANCHORS) for w in words]
+    content = [h for h, w in zip(hashes, words, strict=True) if w not in spots.ANCHORS]
+    if len(content) < 2:
+        return {xxhash.xxh32_intdigest(b"".join(h.to_bytes(8, "little") for h in hashes))}
+    found, met, since = {(0, 0)}, 0, 0
+    for h, w in zip(hashes, words, strict=True):
+        since += 1
+        if w in spots.ANCHORS:
+            found.add((h, met))
+            since = 0
+        else:
+            if since > 8:
+                found.add((2, met))
+            met += 1
+    out = set()
+    for mark, at in found:
+        if at + 2 <= len(content):
+            for h in content[at:at + 2]:
+                mark = (mark ^ h) * 0x9E3779B97F4A7C15 % 2 ** 64
+                mark ^= mark >> 32
+            out.add(mark % 2 ** 32)
+    return out
+
+
+def test_signatures_equal_a_plain_walk():
+    for text in [t or "" for _, t in odd_rows()] + ["the", "the cat", "a b c the der d e f g h i j k l m n", "der " + prose(3, 300).replace(" a", " the a")]:
+        assert set(spots.signatures(text).tolist()) == brute_signatures(text), text[:40]
+
+
 def test_spot_fingerprints(docs):
     rows = [r for r in odd_rows() if r[0] is not None and r[0] != 6] + [(40 + k, "the " + prose(k, 40)) for k in range(10)]
     got = {r.doc_id: r for r in spots.fingerprints(docs(*rows)).collect()}
@@ -297,6 +387,8 @@ def test_spot_fingerprints(docs):
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(changed.encode()).hexdigest())
         a, b = set(spots.signatures(text).tolist()), set(spots.signatures(changed).tolist())
         assert r.near_edited == (len(a & b) / len(a | b) if a | b else 1.0)
+        c = brute_signatures(following)
+        assert r.near_next == (len(a & c) / len(a | c) if a | c else 1.0)
     assert spots.fingerprints(docs(*odd_rows())).count() == len(odd_rows())
     assert spots.fingerprints(docs((1, "alone here"))).first().near_next == 1.0
     assert spots.fingerprints(docs((1, "a")).limit(0)).count() == 0

@@ -28,6 +28,16 @@ def test_index_fetches_every_fitting_rule(spark):
     assert urlrules.url_verdicts(pages.limit(0)).count() == 0
 
 
+def test_columns_with_clashing_names(spark):
+    rows = [(1, "http://x.com/de/", "<p>" + "a" * 100), (2, None, None), (3, "http://example.org/es/1", "<p>" + "a" * 100)]
+    plain = spark.createDataFrame(rows, "page_id long, url string, html string")
+    names = ("host", "path", "rule", "verdict", "token", "tokens", "pattern", "payload", "payload_digest", "record_type", "file", "offset", "start", "size", "refers_to", "node", "rest")
+    full = plain.select("*", *[F.lit(k).alias(n) for k, n in enumerate(names)])
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert same(urlrules.url_verdicts(full), urlrules.url_verdicts(plain))
+    assert same(warc.archived_pages(full), warc.archived_pages(plain))
+
+
 def test_rules_are_filed_under_their_rarest_token():
     rules = urlrules.compile_rules([("block", "example.org", "/en/1")], [("block", "/tag/"), ("block", "*abc*")])
     assert [r["tokens"] for r in rules] == [["example", "org", "en"], ["tag"], []]
