@@ -1,9 +1,11 @@
 """Quality rules: robust multivariate outliers by minimum covariance determinants. DataFrame functions only.
 
 Statistics of each whole text are transformed into a vector. For each language and source the mean and covariance of the
-most concentrated ``core`` share of rows are found by concentration steps: start at medians and spreads, order rows by
-their Mahalanobis distance, estimate anew from the nearest, repeat; then once more from all rows that fit. A row whose
-distance exceeds the chi-square quantile ``cutoff`` is rejected.
+most concentrated ``core`` share of rows are found by concentration steps: order rows by their Mahalanobis distance,
+estimate anew from the nearest, repeat until the determinant of the covariance falls no more. The steps run side by side from
+three starts (medians and spreads of the coordinates; mean and covariance of all rows; lower quartiles and narrow
+spreads); the smallest determinant wins, and is estimated once more from all rows that fit. A row whose distance exceeds
+the chi-square quantile ``cutoff`` is rejected.
 
 A step is one aggregate: rows are counted and summed (values and products) by group and by a narrow class of their
 distance, and whole classes are taken from the nearest on until they hold the core. Rows of a group never meet in one
@@ -34,6 +36,7 @@ CUTOFF = 20.515                          # fixed value: chi-square with 5 degree
 FITS = 12.833                            # fixed value: the same at 0.975, for the last estimate
 CORE_FACTOR = 1.41                       # fixed value: consistency of the covariance of the nearest three quarters in 5 dimensions
 _CLASSES = 16.0                          # classes of distance for each factor e
+_STOP = 1e-3                             # steps go on while the logarithm of some determinant falls by more
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -91,18 +94,20 @@ def _grouped(rows: DataFrame, least_rows: int) -> DataFrame:
 
 
 def _inverse_root(estimates: DataFrame) -> DataFrame:
-    """pool, means m1.., and the inverse of the covariance's lower Cholesky factor, i11, i21, i22, ..."""
+    """pool, start, means m1.., the inverse of the covariance's lower Cholesky factor, i11, i21, i22, ..., and the determinant's logarithm."""
     p = len(VECTOR)
-    for i in range(p):
-        for j in range(i + 1):
-            inner = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-            value = F.col(f"c{i}{j}") - inner
-            estimates = estimates.withColumn(f"l{i}{j}", F.sqrt(F.greatest(value, F.lit(FLOORS[i] ** 2))) if i == j else value / F.col(f"l{j}{j}"))
-    for i in range(p):
-        for j in range(i + 1):
-            inner = sum((F.col(f"l{i}{k}") * F.col(f"i{k}{j}") for k in range(j, i)), F.lit(0.0))
-            estimates = estimates.withColumn(f"i{i}{j}", (F.lit(1.0 if i == j else 0.0) - inner) / F.col(f"l{i}{i}"))
-    return estimates.select("pool", *[f"m{i}" for i in range(p)], *[f"i{i}{j}" for i in range(p) for j in range(i + 1)])
+    def rest(i: int, j: int) -> Column:
+        return F.col(f"c{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
+
+    def solved(i: int, j: int) -> Column:
+        return (F.lit(1.0 if i == j else 0.0) - sum((F.col(f"l{i}{k}") * F.col(f"i{k}{j}") for k in range(j, i)), F.lit(0.0))) / F.col(f"l{i}{i}")
+    for j in range(p):  # a column at a time, what depends on it afterwards
+        estimates = estimates.withColumn(f"l{j}{j}", F.sqrt(F.greatest(rest(j, j), F.lit(FLOORS[j] ** 2))))
+        estimates = estimates.withColumns({f"l{i}{j}": rest(i, j) / F.col(f"l{j}{j}") for i in range(j + 1, p)})
+    for apart in range(p):
+        estimates = estimates.withColumns({f"i{j + apart}{j}": solved(j + apart, j) for j in range(p - apart)})
+    log_det = sum((2 * F.log(f"l{i}{i}") for i in range(p)), F.lit(0.0)).alias("log_det")
+    return estimates.select("pool", "start", log_det, *[f"m{i}" for i in range(p)], *[f"i{i}{j}" for i in range(p) for j in range(i + 1)])
 
 
 def _distance() -> Column:
@@ -117,39 +122,70 @@ def _estimate(rows: DataFrame, roots: DataFrame, core: float, fits: float | None
     klass = F.floor(_CLASSES * F.log(F.col("d") + 1e-6)) if fits is None else (F.col("d") > fits).cast("bigint")
     sums = ([F.count("*").alias("n")] + [F.sum(x).alias(f"t{i}") for i, x in enumerate(VECTOR)]
             + [F.sum(F.col(VECTOR[i]) * F.col(VECTOR[j])).alias(f"q{i}{j}") for i in range(p) for j in range(i + 1)])
-    classes = near.groupBy("pool", klass.alias("k")).agg(*sums)
+    classes = near.groupBy("pool", "start", klass.alias("k")).agg(*sums)
     if fits is None:  # few classes a pool, whatever its size
-        before = F.sum("n").over(Window.partitionBy("pool").orderBy("k").rowsBetween(Window.unboundedPreceding, -1))
-        whole = F.sum("n").over(Window.partitionBy("pool"))
+        before = F.sum("n").over(Window.partitionBy("pool", "start").orderBy("k").rowsBetween(Window.unboundedPreceding, -1))
+        whole = F.sum("n").over(Window.partitionBy("pool", "start"))
         classes = classes.withColumns({"before": F.coalesce(before, F.lit(0)), "whole": whole}).where(F.col("before") < F.col("whole") * core)
     else:
         classes = classes.where("k = 0")
-    total = classes.groupBy("pool").agg(F.sum("n").alias("n"), *[F.sum(f"t{i}").alias(f"t{i}") for i in range(p)],
+    total = classes.groupBy("pool", "start").agg(F.sum("n").alias("n"), *[F.sum(f"t{i}").alias(f"t{i}") for i in range(p)],
                                         *[F.sum(f"q{i}{j}").alias(f"q{i}{j}") for i in range(p) for j in range(i + 1)])
-    factor = CORE_FACTOR if fits is None else 1.0
-    return total.select("pool", *[(F.col(f"t{i}") / F.col("n")).alias(f"m{i}") for i in range(p)],
+    return _moments(total, CORE_FACTOR if fits is None else 1.0)
+
+
+def _moments(total: DataFrame, factor: float) -> DataFrame:
+    """pool, start, means and covariances from sums of values and products."""
+    p = len(VECTOR)
+    return total.select("pool", "start", *[(F.col(f"t{i}") / F.col("n")).alias(f"m{i}") for i in range(p)],
                         *[(factor * (F.col(f"q{i}{j}") / F.col("n") - F.col(f"t{i}") / F.col("n") * F.col(f"t{j}") / F.col("n"))).alias(f"c{i}{j}")
                           for i in range(p) for j in range(i + 1)])
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians, and spreads from the middle half of each coordinate."""
+def _starts(rows: DataFrame) -> DataFrame:
+    """Three first estimates of each pool, from one aggregate."""
     p = len(VECTOR)
-    quartiles = rows.groupBy("pool").agg(*[F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(f"p{i}") for i, x in enumerate(VECTOR)])
-    return quartiles.select("pool", *[F.col(f"p{i}")[1].alias(f"m{i}") for i in range(p)],
-                            *[(F.pow((F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) / 1.349, F.lit(2.0)) if i == j else F.lit(0.0)).alias(f"c{i}{j}")
-                              for i in range(p) for j in range(i + 1)])
+    sums = [F.sum(x).alias(f"t{i}") for i, x in enumerate(VECTOR)] + [F.sum(F.col(VECTOR[i]) * F.col(VECTOR[j])).alias(f"q{i}{j}") for i in range(p) for j in range(i + 1)]
+    found = materialize(rows.groupBy("pool").agg(F.count("*").alias("n"), *sums, *[
+        F.percentile_approx(x, [0.25, 0.5, 0.75], 1000).alias(f"p{i}") for i, x in enumerate(VECTOR)]), "outlier-start")
+
+    def around(start: int, quartile: int, width: float) -> DataFrame:
+        spread = lambda i: F.pow(width * (F.col(f"p{i}")[2] - F.col(f"p{i}")[0]) / 1.349, F.lit(2.0))
+        return found.select("pool", F.lit(start).alias("start"), *[F.col(f"p{i}")[quartile].alias(f"m{i}") for i in range(p)],
+                            *[(spread(i) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in range(p) for j in range(i + 1)])
+    return around(0, 1, 1.0).unionByName(_moments(found.withColumn("start", F.lit(1)), 1.0)).unionByName(around(2, 0, 0.5))
+
 
+def smallest_determinants(rows: DataFrame, core: float, steps: int) -> DataFrame:
+    """The roots of each pool's most concentrated estimate: concentration steps from all starts until no determinant falls.
 
-def quality_verdicts(docs: DataFrame, core: float = 0.75, steps: int = 5, cutoff: float = CUTOFF, least_rows: int = 60) -> DataFrame:
+    Whole classes of distance are taken, so a step may also rise a little; the estimate before it is kept then.
+    """
+    roots = materialize(_inverse_root(_estimate(rows, materialize(_inverse_root(_starts(rows)), "outlier-roots"), core, None)), "outlier-roots")
+    for _ in range(steps):
+        nearer = materialize(_inverse_root(_estimate(rows, roots, core, None)), "outlier-roots")
+        both = nearer.select("pool", "start", "log_det").join(roots.select("pool", "start", F.col("log_det").alias("before")), ["pool", "start"])
+        fell = both.agg(F.max(F.col("before") - F.col("log_det"))).first()[0]  # a row per pool and start
+        if fell is None or fell < _STOP:
+            break
+        roots = materialize(_least(roots.unionByName(nearer), ["pool", "start"]), "outlier-roots")
+    return _least(roots, ["pool"])
+
+
+def _least(roots: DataFrame, keys: list[str]) -> DataFrame:
+    """The estimate with the smallest determinant per key."""
+    others = [c for c in roots.columns if c not in keys]
+    best = F.min_by(F.struct(*others), F.struct("log_det", *[c for c in ("start",) if c in others])).alias("best")
+    return roots.groupBy(*keys).agg(best).select(*keys, "best.*")
+
+
+def quality_verdicts(docs: DataFrame, core: float = 0.75, steps: int = 10, cutoff: float = CUTOFF, least_rows: int = 60) -> DataFrame:
     """Per row: doc_id, the base statistics, base_failed, kept, and the squared distance (null where none is estimated)."""
     stats = vectors(statistics(docs)).withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
     rows = materialize(stats, "outlier-statistics")
     rows = materialize(_grouped(rows, least_rows), "outlier-rows")
     usable = rows.where("pool is not null and not base_failed").select("pool", *VECTOR)
-    roots = materialize(_inverse_root(_start(usable)), "outlier-roots")
-    for _ in range(steps):
-        roots = materialize(_inverse_root(_estimate(usable, roots, core, None)), "outlier-roots")
+    roots = materialize(smallest_determinants(usable, core, steps), "outlier-roots")
     roots = materialize(_inverse_root(_estimate(usable, roots, core, FITS)), "outlier-roots")
     judged = rows.join(roots, "pool", "left").withColumn("distance", _distance())
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
