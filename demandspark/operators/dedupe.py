@@ -86,15 +86,15 @@ def keep_first(df: DataFrame, keys: Sequence[str] = EVENT_KEY, order: Sequence[s
 
 
 def dedupe_first(new: DataFrame, existing: DataFrame, keys: Sequence[str] = EVENT_KEY,
-                 order: Sequence[str] = RECENCY) -> DataFrame:
+                 order: Sequence[str] = RECENCY, unique: bool = False) -> DataFrame:
     """Insert-ignore: new rows whose key is not stored yet, the first arrival of each key.
 
     Both sides have one row per key before they meet, so no key is hot in the join. Null key parts
-    are equal to each other.
+    are equal to each other. ``unique``: the new rows have one row per key already.
     """
     known = existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys))
-    return keep_first(new, keys, order).join(known, same, "left_anti")
+    return (new if unique else keep_first(new, keys, order)).join(known, same, "left_anti")
 
 
 def duplicate_stats(df: DataFrame, keys: Sequence[str] = EVENT_KEY) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import nullcontext
 from functools import reduce
 from operator import and_
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import EVENT_KEY, RECENCY
 from ..session import staged
-from ..sources.lake import replace_partitions, table_exists
+from ..sources.lake import read_months, replace_partitions
 from .dedupe import dedupe_latest, fixed_width, packed_order
 
 MONTH = "event_month"
@@ -87,13 +88,16 @@ def _upserted(target: DataFrame, updates: DataFrame, keys: Sequence[str], order:
         *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in target.columns], "_change")
 
 
-def _counts(changes: DataFrame) -> DataFrame:
+def _numbers() -> list[Column]:
     def number(*kinds: str) -> Column:
         return F.count_if(F.col("_change").isin(*kinds))
 
-    return changes.agg(number("inserted", "updated", "unchanged").alias("source_rows"),
-                       number("inserted").alias("inserted"), number("updated").alias("updated"),
-                       number("unchanged").alias("unchanged"))
+    return [number("inserted", "updated", "unchanged").alias("source_rows"), number("inserted").alias("inserted"),
+            number("updated").alias("updated"), number("unchanged").alias("unchanged")]
+
+
+def _counts(changes: DataFrame) -> DataFrame:
+    return changes.agg(*_numbers())
 
 
 def upsert_newer(target: DataFrame, updates: DataFrame, keys: Sequence[str] = EVENT_KEY,
@@ -112,30 +116,28 @@ def upsert_metrics(target: DataFrame, updates: DataFrame, keys: Sequence[str] =
 
 def merge_into(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str] = EVENT_KEY,
                order: Sequence[str] = RECENCY, date: str = "event_date",
-               on_change: Callable[[DataFrame], None] | None = None, stamps: Mapping[str, Column] | None = None) -> dict[str, int]:
+               on_change: Callable[[DataFrame], None] | None = None, stamps: Mapping[str, Column] | None = None,
+               unique: bool = False) -> dict[str, int]:
     """Upsert a batch into a table partitioned by month; only months of the batch are read and
     rewritten. Returns the metrics of the merge; a replayed batch changes and writes nothing.
 
     The result is complete in the shared folder before any partition is replaced, and running
     an interrupted merge again gives the same table. ``on_change`` gets the inserted and updated rows
     before the table is touched. ``stamps`` are audit columns of the rows the batch writes; others keep theirs.
+    ``unique``: the updates are stored rows with one row per key; they are neither deduplicated nor stored again.
     """
-    latest = dedupe_latest(updates, keys, order).withColumns({**(stamps or {}), MONTH: F.trunc(date, "MM")})
-    with staged(latest, "batch") as batch:
-        months = months_in(batch)
-        if table_exists(spark, path):
-            touched = spark.read.parquet(path).filter(F.col(MONTH).isin(months)).select(*batch.columns)
-        else:
-            touched = batch.limit(0)
+    added = {**(stamps or {}), MONTH: F.trunc(date, "MM")}
+    with nullcontext(updates.withColumns(added)) if unique else staged(dedupe_latest(updates, keys, order).withColumns(added), "batch") as batch:
+        held = read_months(spark, path, MONTH, months_in(batch))
+        touched = batch.limit(0) if held is None else held.select(*batch.columns)
         with staged(_upserted(touched, batch, keys, order, unique=True), "merged") as merged:
-            metrics = _counts(merged).first().asDict()
-            altered = merged.filter(F.col("_change").isin("inserted", "updated"))
-            changed = months_in(altered)
+            taken = F.col("_change").isin("inserted", "updated")
+            *counts, changed = merged.agg(*_numbers(), F.collect_set(F.when(taken, F.col(MONTH))).alias("changed")).first()  # a value per month
             if changed:
                 if on_change:
-                    on_change(altered.drop("_change"))
+                    on_change(merged.filter(taken).drop("_change"))
                 replace_partitions(merged.filter(F.col(MONTH).isin(changed)).drop("_change"), path, [MONTH])
-    return metrics
+    return dict(zip(("source_rows", "inserted", "updated", "unchanged"), counts))
 
 
 def months_in(df: DataFrame) -> list:

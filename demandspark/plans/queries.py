@@ -15,7 +15,7 @@ from ..operators import (clean, dashboard, dedupe, evaluation, facts, features,
                          rollups, tree, trend, upsert, zones)
 from ..schemas import (CV_INITIAL_DAYS, CV_PERIOD_DAYS, DAILY_KEY, EVENT_KEY, EVENTS, HOLDOUT_DAYS, LEVEL_WINDOW,
                        MIN_LAG, SEASON_LAG)
-from ..session import materialize, scratch_path
+from ..session import materialize, scratch_path, setting
 from ..sources import files, lake, messages
 from ..sources.sample import CATEGORIES, REGIONS, messy_events, sales_events
 from ..streaming import ingest
@@ -852,9 +852,12 @@ def _published(spark: SparkSession, d: str, per_file: bool) -> str:
     """The events as message files: a single batch, or one folder entry per arrival year."""
     path = scratch_path(spark, "messages")
     sent = messages.to_messages(sales_events(spark, d))
-    if per_file:
-        sent = sent.withColumn("_year", F.year("ingested_at")).hint("rebalance", "_year").drop("_year")
-    messages.write_messages(sent, path)
+    if not per_file:
+        messages.write_messages(sent, path)
+        return path
+    # Only a year beyond this size is split into several entries, each still written by one task.
+    with setting(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m"):
+        messages.write_messages(sent.withColumn("_year", F.year("ingested_at")).hint("rebalance", "_year").drop("_year"), path)
     return path
 
 

@@ -5,7 +5,8 @@ One writer per table is assumed; readers use the snapshot the audit names.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,6 +18,9 @@ ROWS_PER_FILE = 10_000_000
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    folder, system = _folder(spark, path)
+    if not system.exists(folder):
+        return False
     try:
         return bool(spark.read.parquet(path).columns)
     except AnalysisException:
@@ -36,6 +40,15 @@ def folder_values(spark: SparkSession, path: str, column: str) -> list[str]:
     return sorted(n.partition("=")[2] for n in names if n.startswith(f"{column}="))
 
 
+def read_months(spark: SparkSession, path: str, column: str, first_days: Iterable[date]) -> DataFrame | None:
+    """The rows of some months of a table partitioned by ``column``; None if it has none of them. No other folder is listed."""
+    wanted = {d.isoformat() for d in first_days}
+    held = [v for v in folder_values(spark, path, column) if v in wanted]
+    if not held:
+        return None
+    return spark.read.option("basePath", path).parquet(*[f"{path}/{column}={v}" for v in held])
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     folder, system = _folder(spark, path)
     system.delete(folder, True)

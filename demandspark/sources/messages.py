@@ -13,6 +13,7 @@ from .lake import append_batch, table_exists
 
 MESSAGE_FIELDS = tuple(f.name for f in MESSAGE.fields if f.name != CORRUPT)
 PASS_THROUGH = ("ingested_at", "id")
+MESSAGE_BLOCK = 8 << 20  # bytes of a row group: the unit in which the tasks of a micro-batch share a file
 _SLOT_BITS = 33  # monotonically_increasing_id: partition number above, row number within it below
 
 
@@ -142,7 +143,7 @@ def write_messages(messages: DataFrame, path: str | None = None, kafka: dict[str
     if kafka:
         messages.select("key", "value").write.format("kafka").options(**kafka).save()
     elif path:
-        messages.write.mode("append").parquet(path)
+        messages.write.mode("append").option("parquet.block.size", MESSAGE_BLOCK).parquet(path)
     else:
         raise ValueError("give a path or Kafka options")
 

@@ -12,17 +12,17 @@ still has to take.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..operators.dedupe import dedupe_first
+from ..operators.dedupe import dedupe_first, dedupe_latest, keep_first
 from ..operators.indexing import with_row_index
 from ..operators.upsert import MONTH, months_in
 from ..schemas import CORRUPT, EVENT_KEY, EVENTS
@@ -49,14 +49,31 @@ def _events(messages: DataFrame) -> DataFrame:
     return parsed.select(*EVENTS.names, "is_bad", CORRUPT)
 
 
+def _late(mark: date | None) -> Column:
+    return F.coalesce(F.col("event_date") < F.lit(mark), F.lit(False)) if mark else F.lit(False)
+
+
+def _per_key(parsed: DataFrame, pick: Callable[..., DataFrame], mark: date | None) -> DataFrame:
+    """Of the good events in time the one of each natural key that ``pick`` takes; bad messages and late events row by row."""
+    alone = F.when(F.col("is_bad") | _late(mark), F.monotonically_increasing_id())
+    return pick(parsed.withColumn("_alone", alone), [*EVENT_KEY, CORRUPT, "_alone"]).select(*parsed.columns)
+
+
 @contextmanager
-def _observed(parsed: DataFrame, mark: date | None = None) -> Iterator[tuple[DataFrame, dict]]:
-    """Parsed messages stored for the length of the block, with counts taken while they are written; events before ``mark`` are late."""
+def _observed(parsed: DataFrame, mark: date | None = None, pick: Callable[..., DataFrame] | None = None) -> Iterator[tuple[DataFrame, dict]]:
+    """Parsed messages stored for the length of the block, with counts of all of them taken on the way; events before ``mark`` are late.
+
+    With ``pick`` the stored rows are those of ``_per_key``: messages are parsed and brought together by key in one pass, so
+    what is stored follows the number of keys rather than of messages.
+    """
     seen = Observation()
     late = F.count_if(F.col("event_date") < F.lit(mark)) if mark else F.lit(0).cast("bigint") * F.count(F.lit(1))
     counts = (F.count(F.lit(1)).alias("consumed"), F.count_if("is_bad").alias("quarantined"), late.alias("late"), F.max("event_date").alias("latest"))
-    with staged(parsed.observe(seen, *counts), "parsed") as stored:
-        yield stored, seen.get
+    counted = parsed.observe(seen, *counts)
+    with staged(_per_key(counted, pick, mark) if pick else counted, "parsed") as stored:
+        # An empty batch leaves no metrics behind: adaptive execution takes its plan away.
+        none = {**dict.fromkeys(("consumed", "quarantined", "late"), 0), "latest": None}
+        yield stored, none if stored.isEmpty() else seen.get
 
 
 def _quarantine(parsed: DataFrame, found: int, quarantine: str | None, name: str) -> DataFrame:
@@ -141,17 +158,20 @@ class _Sink:
         append_batch(behind, self.late, name)
 
     def store(self, parsed: DataFrame, counts: dict, mark: date | None, number: int, part: int, put_off: int) -> None:
-        """Insert-ignore of one batch (``part`` 0) or of a part of what an earlier batch put off, and its row in the log."""
+        """Insert-ignore of one batch (``part`` 0) or of a part of what an earlier batch put off, and its row in the log.
+
+        The events in time have one row per natural key (``_per_key``).
+        """
         spark, name = parsed.sparkSession, f"{self.run}-{number}" + (f"-{part}" if part else "")
         good = _quarantine(parsed, counts["quarantined"], self.quarantine, name)
         if counts["late"]:
             self.set_late_apart(good, mark, name)
             good = good.filter(F.col("event_date") >= F.lit(mark))
         events = good.withColumn(MONTH, F.trunc("event_date", "MM"))
-        new, seen = dedupe_first(events, _stored_keys(spark, self.table, events, name)), Observation()
-        append_batch(new.observe(seen, F.count(F.lit(1)).alias("written")), self.table, name, [MONTH])
+        new = dedupe_first(events, _stored_keys(spark, self.table, events, name), unique=True)
+        append_batch(new, self.table, name, [MONTH])
         if self.log:
-            written = seen.get["written"]
+            written = spark.read.schema(EVENTS).parquet(f"{self.table}/_batch_id={name}").count()  # from the footers of its files
             skipped = counts["consumed"] - counts["quarantined"] - counts["late"] - written
             row = (self.run, number, part, counts["consumed"], written, skipped, counts["quarantined"], counts["late"], put_off, counts["latest"])
             columns = LOG.removesuffix(", recorded_at timestamp")
@@ -163,15 +183,17 @@ class _Sink:
             admission.closed = True
             raise _CapReached
         mark = self.watermark(messages.sparkSession, number)
-        with _observed(_events(messages), mark) as (parsed, counts):
-            taken = counts["consumed"]
-            if admission.remaining is not None:
-                mine = (F.col("run") == self.run) & (F.col("number") == number) & (F.col("part") == 0)
-                before = read_log(messages.sparkSession, self.log).filter(mine).first()
-                taken = admission.take(taken) if before is None else before.consumed  # delivered again: the same cut
+        if admission.remaining is None:
+            with _observed(_events(messages), mark, keep_first) as (parsed, counts):
+                self.store(parsed, counts, mark, number, 0, 0)
+            return
+        with _observed(_events(messages)) as (parsed, counts):  # row by row: a cut may run between messages of one key
+            mine = (F.col("run") == self.run) & (F.col("number") == number) & (F.col("part") == 0)
+            before = read_log(messages.sparkSession, self.log).filter(mine).first()
+            taken = admission.take(counts["consumed"]) if before is None else before.consumed  # delivered again: the same cut
             put_off = counts["consumed"] - taken
             if not put_off:
-                self.store(parsed, counts, mark, number, 0, 0)
+                self.take_part(parsed, number, 0, 0)
                 return
             placed = with_row_index(parsed, list(_ORDER), "place")
             append_batch(placed.filter(F.col("place") > taken), self.backlog, f"{self.run}-{number}")
@@ -179,7 +201,7 @@ class _Sink:
 
     def take_part(self, rows: DataFrame, number: int, part: int, put_off: int) -> None:
         mark = self.watermark(rows.sparkSession, number)
-        with _observed(rows.select(*EVENTS.names, "is_bad", CORRUPT), mark) as (parsed, counts):
+        with _observed(rows.select(*EVENTS.names, "is_bad", CORRUPT), mark, keep_first) as (parsed, counts):
             self.store(parsed, counts, mark, number, part, put_off)
 
     def drain(self, spark: SparkSession, admission: _Admission) -> None:
@@ -196,7 +218,8 @@ class _Sink:
 
 
 def _start(stream: DataFrame, write_batch, checkpoint: str) -> StreamingQuery:
-    return (stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    # A micro-batch reaches the writer whole; the natural key is in the value once more.
+    return (stream.drop("key").writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
@@ -239,9 +262,9 @@ def rollup_stream(messages: DataFrame, silver: str, view: str, checkpoint: str,
     """
     def write_batch(batch: DataFrame, number: int) -> None:
         name = f"{_run_name(checkpoint)}-{number}"
-        with _observed(_events(batch)) as (parsed, counts):
+        with _observed(_events(batch), pick=dedupe_latest) as (parsed, counts):
             events = _quarantine(parsed, counts["quarantined"], quarantine, name)
-            merge_and_refresh(batch.sparkSession, silver, view, events, name)
+            merge_and_refresh(batch.sparkSession, silver, view, events, name, unique=True)
 
     return _start(messages, write_batch, checkpoint)
 

@@ -27,7 +27,7 @@ from ..operators.rollups import SERIES, daily_totals, with_trends
 from ..operators.upsert import MONTH, merge_into
 from ..schemas import DAILY_KEY
 from ..session import staged
-from ..sources.lake import append_batch, folder_values, remove_folder, replace_partitions, table_exists
+from ..sources.lake import append_batch, folder_values, read_months, remove_folder, replace_partitions, table_exists
 
 REACH_DAYS, REACH_ROWS = 29, 7
 Span = tuple[date, date]  # first and last month of a contiguous piece of the calendar
@@ -132,10 +132,10 @@ def refresh_months(spark: SparkSession, silver: str, view: str, days: DataFrame)
     months = sorted(r[0] for r in days.select(MONTH).distinct().collect())  # at most one value per calendar month
     if not months:
         return Refresh([], [], [])
-    fresh = daily_totals(spark.read.parquet(silver).filter(F.col(MONTH).isin(months))).withColumn(MONTH, F.trunc("event_date", "MM"))
+    fresh = daily_totals(read_months(spark, silver, MONTH, months)).withColumn(MONTH, F.trunc("event_date", "MM"))
     replace_partitions(fresh, daily_path, [MONTH])
 
-    daily = spark.read.parquet(daily_path)
+    daily = spark.read.schema(fresh.schema).parquet(daily_path)
     available = [date.fromisoformat(v) for v in folder_values(spark, daily_path, MONTH)]
     spans = spans_around(months)
     rows = _in_spans(daily, days, spans)
@@ -145,18 +145,21 @@ def refresh_months(spark: SparkSession, silver: str, view: str, days: DataFrame)
     with staged(_affected(rows), "affected") as affected:
         written = sorted(r[0] for r in affected.select(MONTH).distinct().collect())
         kept = affected
-        if table_exists(spark, gold):
-            old = spark.read.parquet(gold).filter(F.col(MONTH).isin(written)).select(*affected.columns)
-            kept = affected.unionAll(old.join(affected, list(DAILY_KEY), "left_anti"))
+        held = read_months(spark, gold, MONTH, written)
+        if held is not None:
+            kept = affected.unionAll(held.select(*affected.columns).join(affected, list(DAILY_KEY), "left_anti"))
         with staged(kept, "gold") as complete:
             replace_partitions(complete, gold, [MONTH])
     return Refresh(months, spans, written)
 
 
-def merge_and_refresh(spark: SparkSession, silver: str, view: str, events: DataFrame, batch_name: str) -> Refresh:
-    """Upsert a batch into silver and refresh the view on the days it changed, and on those an interrupted run left behind."""
+def merge_and_refresh(spark: SparkSession, silver: str, view: str, events: DataFrame, batch_name: str, unique: bool = False) -> Refresh:
+    """Upsert a batch into silver and refresh the view on the days it changed, and on those an interrupted run left behind.
+
+    ``unique``: the events are stored rows, one per natural key.
+    """
     pending = f"{view}/pending"
-    merge_into(spark, silver, events, on_change=lambda rows: append_batch(_days(rows), pending, batch_name))
+    merge_into(spark, silver, events, on_change=lambda rows: append_batch(_days(rows), pending, batch_name), unique=unique)
     if not table_exists(spark, pending):
         return Refresh([], [], [])
     with staged(_days(spark.read.parquet(pending)), "days") as days:

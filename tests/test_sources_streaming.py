@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from demandspark import session
 from demandspark.operators import rollups, upsert
 from demandspark.operators.dedupe import dedupe_latest, keep_first
+from demandspark.plans.queries import _published
 from demandspark.sources import files, jdbc, messages
 from demandspark.sources.sample import sales_events
 from demandspark.streaming import ingest, ingest_stats, ingest_stream, read_log, rollup_stream, run_available
@@ -264,3 +265,47 @@ def test_bad_messages_without_quarantine_fail(spark, tmp_path):
     stream = spark.readStream.schema("key string, value string").parquet(path)
     with pytest.raises(Exception, match="quarantine"):
         run_available(ingest_stream(stream, str(tmp_path / "table"), str(tmp_path / "checkpoint")))
+
+
+@pytest.mark.parametrize("pick, kept", [(keep_first, 1), (dedupe_latest, 2)])
+def test_a_batch_is_stored_by_key(spark, events, pick, kept):
+    """Repeated events are stored as one row; bad messages and late events each on their own; counts are of all messages."""
+    sent = messages.to_messages(events((1, 9, "A", "N", 5, 1), (2, 9, "A", "N", 7, 2), (3, 2, "A", "N", 1, 1), (4, 2, "A", "N", 2, 1), (5, 12, "B", "N", 2, 1)))
+    broken = spark.createDataFrame([("k", "not json", None, None)] * 2 + [("k", None, None, None)], SENT)
+    batch = ingest._events(sent.unionByName(broken))
+    with ingest._observed(batch, date(2023, 1, 5), pick) as (stored, counts):
+        assert counts == {"consumed": 8, "quarantined": 3, "late": 2, "latest": date(2023, 1, 12)}
+        assert rows_of(stored.filter("not is_bad"), "id") == [(kept,), (3,), (4,), (5,)]
+        assert rows_of(stored.filter("is_bad and _corrupt_record is not null"), "_corrupt_record") == [("not json",)] * 2
+        assert stored.count() == 7
+
+
+def test_a_year_of_messages_is_one_entry(spark):
+    """Files of small shuffle partitions would make as many micro-batches as there are partitions."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    with session.setting(spark, key, "16k"):
+        path = _published(spark, SMALL, True)
+        assert spark.conf.get(key) == "16k"
+    sent = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    assert sent.groupBy(F.year("ingested_at")).agg(F.count_distinct("file").alias("n")).filter("n > 1").isEmpty()
+
+
+def test_tasks_can_share_a_message_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(messages, "MESSAGE_BLOCK", 64 << 10)
+    path = str(tmp_path / "in")
+    sent = spark.range(40_000).select(F.lit("k").alias("key"), F.sha2(F.col("id").cast("string"), 256).alias("value"))
+    messages.write_messages(sent.coalesce(1), path)
+    with session.setting(spark, "spark.sql.files.maxPartitionBytes", "256k"), session.setting(spark, "spark.sql.files.openCostInBytes", "1"):
+        per_task = spark.read.parquet(path).groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 1
+
+
+def test_an_empty_delivery_counts_nothing(spark, events, tmp_path):
+    path, table, log, late = (str(tmp_path / n) for n in ("in", "table", "log", "late"))
+    send(spark, events, path, (1, 1, "A", "N", 5, 1))
+    spark.createDataFrame([], SENT).coalesce(1).write.mode("append").parquet(path)
+    run_available(ingest_stream(source(spark, path, max_per_batch=1), table, str(tmp_path / "c"), log=log, late=late))
+    total = ingest_stats(read_log(spark, log)).first()
+    assert (total.consumed, total.written, total.skipped, total.late) == (1, 1, 0, 0)
+    run_available(rollup_stream(source(spark, path, max_per_batch=1), str(tmp_path / "silver"), str(tmp_path / "view"), str(tmp_path / "r")))
+    assert spark.read.parquet(str(tmp_path / "view" / "gold")).count() == 1
