@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -49,13 +49,9 @@ def _events(messages: DataFrame) -> DataFrame:
     return parsed.select(*EVENTS.names, "is_bad", CORRUPT)
 
 
-def _late(mark: date | None) -> Column:
-    return F.coalesce(F.col("event_date") < F.lit(mark), F.lit(False)) if mark else F.lit(False)
-
-
-def _per_key(parsed: DataFrame, pick: Callable[..., DataFrame], mark: date | None) -> DataFrame:
-    """Of the good events in time the one of each natural key that ``pick`` takes; bad messages and late events row by row."""
-    alone = F.when(F.col("is_bad") | _late(mark), F.monotonically_increasing_id())
+def _per_key(parsed: DataFrame, pick: Callable[..., DataFrame]) -> DataFrame:
+    """Of the good events the one of each natural key that ``pick`` takes; bad messages row by row."""
+    alone = F.when(F.col("is_bad"), F.monotonically_increasing_id())
     return pick(parsed.withColumn("_alone", alone), [*EVENT_KEY, CORRUPT, "_alone"]).select(*parsed.columns)
 
 
@@ -64,13 +60,14 @@ def _observed(parsed: DataFrame, mark: date | None = None, pick: Callable[..., D
     """Parsed messages stored for the length of the block, with counts of all of them taken on the way; events before ``mark`` are late.
 
     With ``pick`` the stored rows are those of ``_per_key``: messages are parsed and brought together by key in one pass, so
-    what is stored follows the number of keys rather than of messages.
+    what is stored follows the number of keys rather than of messages. Late events are all kept; where there may be some, the
+    messages are stored as they are, so that late ones need no shuffle.
     """
     seen = Observation()
     late = F.count_if(F.col("event_date") < F.lit(mark)) if mark else F.lit(0).cast("bigint") * F.count(F.lit(1))
     counts = (F.count(F.lit(1)).alias("consumed"), F.count_if("is_bad").alias("quarantined"), late.alias("late"), F.max("event_date").alias("latest"))
     counted = parsed.observe(seen, *counts)
-    with staged(_per_key(counted, pick, mark) if pick else counted, "parsed") as stored:
+    with staged(_per_key(counted, pick) if pick and not mark else counted, "parsed") as stored:
         # An empty batch leaves no metrics behind: adaptive execution takes its plan away.
         none = {**dict.fromkeys(("consumed", "quarantined", "late"), 0), "latest": None}
         yield stored, none if stored.isEmpty() else seen.get
@@ -160,7 +157,7 @@ class _Sink:
     def store(self, parsed: DataFrame, counts: dict, mark: date | None, number: int, part: int, put_off: int) -> None:
         """Insert-ignore of one batch (``part`` 0) or of a part of what an earlier batch put off, and its row in the log.
 
-        The events in time have one row per natural key (``_per_key``).
+        Without a ``mark`` the events have one row per natural key already (``_per_key``).
         """
         spark, name = parsed.sparkSession, f"{self.run}-{number}" + (f"-{part}" if part else "")
         good = _quarantine(parsed, counts["quarantined"], self.quarantine, name)
@@ -168,7 +165,7 @@ class _Sink:
             self.set_late_apart(good, mark, name)
             good = good.filter(F.col("event_date") >= F.lit(mark))
         events = good.withColumn(MONTH, F.trunc("event_date", "MM"))
-        new = dedupe_first(events, _stored_keys(spark, self.table, events, name), unique=True)
+        new = dedupe_first(events, _stored_keys(spark, self.table, events, name), unique=mark is None)
         append_batch(new, self.table, name, [MONTH])
         if self.log:
             written = spark.read.schema(EVENTS).parquet(f"{self.table}/_batch_id={name}").count()  # from the footers of its files

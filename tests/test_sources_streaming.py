@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from demandspark import session
 from demandspark.operators import rollups, upsert
 from demandspark.operators.dedupe import dedupe_latest, keep_first
-from demandspark.plans.queries import _published
+from demandspark.plans.queries import QUERIES, _published
 from demandspark.sources import files, jdbc, messages
 from demandspark.sources.sample import sales_events
 from demandspark.streaming import ingest, ingest_stats, ingest_stream, read_log, rollup_stream, run_available
@@ -269,15 +269,16 @@ def test_bad_messages_without_quarantine_fail(spark, tmp_path):
 
 @pytest.mark.parametrize("pick, kept", [(keep_first, 1), (dedupe_latest, 2)])
 def test_a_batch_is_stored_by_key(spark, events, pick, kept):
-    """Repeated events are stored as one row; bad messages and late events each on their own; counts are of all messages."""
+    """Repeated events are stored as one row, bad messages each on its own, all of them where events may be late; counts are of all messages."""
     sent = messages.to_messages(events((1, 9, "A", "N", 5, 1), (2, 9, "A", "N", 7, 2), (3, 2, "A", "N", 1, 1), (4, 2, "A", "N", 2, 1), (5, 12, "B", "N", 2, 1)))
     broken = spark.createDataFrame([("k", "not json", None, None)] * 2 + [("k", None, None, None)], SENT)
     batch = ingest._events(sent.unionByName(broken))
-    with ingest._observed(batch, date(2023, 1, 5), pick) as (stored, counts):
-        assert counts == {"consumed": 8, "quarantined": 3, "late": 2, "latest": date(2023, 1, 12)}
-        assert rows_of(stored.filter("not is_bad"), "id") == [(kept,), (3,), (4,), (5,)]
-        assert rows_of(stored.filter("is_bad and _corrupt_record is not null"), "_corrupt_record") == [("not json",)] * 2
-        assert stored.count() == 7
+    for mark, late, ids in ((None, 0, [kept, 3 if pick is keep_first else 4, 5]), (date(2023, 1, 5), 2, [1, 2, 3, 4, 5])):
+        with ingest._observed(batch, mark, pick) as (stored, counts):
+            assert counts == {"consumed": 8, "quarantined": 3, "late": late, "latest": date(2023, 1, 12)}
+            assert sorted(r.id for r in stored.filter("not is_bad").collect()) == sorted(ids)
+            assert rows_of(stored.filter("is_bad and _corrupt_record is not null"), "_corrupt_record") == [("not json",)] * 2
+            assert stored.filter("is_bad").count() == 3
 
 
 def test_a_year_of_messages_is_one_entry(spark):
@@ -309,3 +310,11 @@ def test_an_empty_delivery_counts_nothing(spark, events, tmp_path):
     assert (total.consumed, total.written, total.skipped, total.late) == (1, 1, 0, 0)
     run_available(rollup_stream(source(spark, path, max_per_batch=1), str(tmp_path / "silver"), str(tmp_path / "view"), str(tmp_path / "r")))
     assert spark.read.parquet(str(tmp_path / "view" / "gold")).count() == 1
+
+
+def test_deliveries_share_one_join(spark, monkeypatch):
+    """The tables are joined once, not for every delivery."""
+    read, to_messages = [], messages.to_messages
+    monkeypatch.setattr(messages, "to_messages", lambda rows: read.extend(rows.inputFiles()) or to_messages(rows))
+    assert QUERIES["stream_late"](spark, SMALL).count()
+    assert read and not any(SMALL in file for file in read)
