@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from demandspark.operators import quality, rollups, upsert, zones
 from demandspark.operators.dedupe import dedupe_latest
 from demandspark.plans import stages
+from demandspark.plans.queries import QUERIES
 from demandspark.schemas import EVENT_KEY, EVENTS
 from demandspark.sources import lake
 from demandspark.sources.sample import sales_events
@@ -248,3 +249,11 @@ def test_as_of_and_new_rows(events):
     assert upsert.as_of(bronze, 2).first().units_sold == 7
     assert rows_of(upsert.new_rows(bronze, bronze.filter("id = 1")), "id") == [(2,)]
     assert set(EVENT_KEY) <= set(upsert.stamp(bronze, "b", "s").columns)
+
+
+def test_runs_of_a_lake_query_share_one_join(spark, monkeypatch):
+    """The source of both runs is read from where it was written once."""
+    read, build = [], stages.build_lake
+    monkeypatch.setattr(stages, "build_lake", lambda spark, raw, *rest: read.extend(raw.inputFiles()) or build(spark, raw, *rest))
+    assert QUERIES["lake_build"](spark, SMALL).count()
+    assert read and not any(SMALL in file for file in read)
