@@ -60,14 +60,14 @@ def _observed(parsed: DataFrame, mark: date | None = None, pick: Callable[..., D
     """Parsed messages stored for the length of the block, with counts of all of them taken on the way; events before ``mark`` are late.
 
     With ``pick`` the stored rows are those of ``_per_key``: messages are parsed and brought together by key in one pass, so
-    what is stored follows the number of keys rather than of messages. Late events are all kept; where there may be some, the
-    messages are stored as they are, so that late ones need no shuffle.
+    what is stored follows the number of keys rather than of messages. Bad messages and late events are all kept; callers
+    that expect many of them give no ``pick``, so that these need no shuffle.
     """
     seen = Observation()
     late = F.count_if(F.col("event_date") < F.lit(mark)) if mark else F.lit(0).cast("bigint") * F.count(F.lit(1))
     counts = (F.count(F.lit(1)).alias("consumed"), F.count_if("is_bad").alias("quarantined"), late.alias("late"), F.max("event_date").alias("latest"))
     counted = parsed.observe(seen, *counts)
-    with staged(_per_key(counted, pick) if pick and not mark else counted, "parsed") as stored:
+    with staged(_per_key(counted, pick) if pick else counted, "parsed") as stored:
         # An empty batch leaves no metrics behind: adaptive execution takes its plan away.
         none = {**dict.fromkeys(("consumed", "quarantined", "late"), 0), "latest": None}
         yield stored, none if stored.isEmpty() else seen.get
@@ -154,18 +154,19 @@ class _Sink:
             behind = behind.join(known, identity, "left_anti")
         append_batch(behind, self.late, name)
 
-    def store(self, parsed: DataFrame, counts: dict, mark: date | None, number: int, part: int, put_off: int) -> None:
-        """Insert-ignore of one batch (``part`` 0) or of a part of what an earlier batch put off, and its row in the log.
+    def by_key(self, mark: date | None) -> bool:
+        """Whether batches are stored by key: neither late events nor bad messages have to be kept."""
+        return mark is None and self.quarantine is None
 
-        Without a ``mark`` the events have one row per natural key already (``_per_key``).
-        """
+    def store(self, parsed: DataFrame, counts: dict, mark: date | None, number: int, part: int, put_off: int) -> None:
+        """Insert-ignore of one batch (``part`` 0) or of a part of what an earlier batch put off, and its row in the log."""
         spark, name = parsed.sparkSession, f"{self.run}-{number}" + (f"-{part}" if part else "")
         good = _quarantine(parsed, counts["quarantined"], self.quarantine, name)
         if counts["late"]:
             self.set_late_apart(good, mark, name)
             good = good.filter(F.col("event_date") >= F.lit(mark))
         events = good.withColumn(MONTH, F.trunc("event_date", "MM"))
-        new = dedupe_first(events, _stored_keys(spark, self.table, events, name), unique=mark is None)
+        new = dedupe_first(events, _stored_keys(spark, self.table, events, name), unique=self.by_key(mark))
         append_batch(new, self.table, name, [MONTH])
         if self.log:
             written = spark.read.schema(EVENTS).parquet(f"{self.table}/_batch_id={name}").count()  # from the footers of its files
@@ -181,7 +182,7 @@ class _Sink:
             raise _CapReached
         mark = self.watermark(messages.sparkSession, number)
         if admission.remaining is None:
-            with _observed(_events(messages), mark, keep_first) as (parsed, counts):
+            with _observed(_events(messages), mark, keep_first if self.by_key(mark) else None) as (parsed, counts):
                 self.store(parsed, counts, mark, number, 0, 0)
             return
         with _observed(_events(messages)) as (parsed, counts):  # row by row: a cut may run between messages of one key
@@ -198,7 +199,7 @@ class _Sink:
 
     def take_part(self, rows: DataFrame, number: int, part: int, put_off: int) -> None:
         mark = self.watermark(rows.sparkSession, number)
-        with _observed(rows.select(*EVENTS.names, "is_bad", CORRUPT), mark, keep_first) as (parsed, counts):
+        with _observed(rows.select(*EVENTS.names, "is_bad", CORRUPT), mark, keep_first if self.by_key(mark) else None) as (parsed, counts):
             self.store(parsed, counts, mark, number, part, put_off)
 
     def drain(self, spark: SparkSession, admission: _Admission) -> None:
@@ -259,9 +260,9 @@ def rollup_stream(messages: DataFrame, silver: str, view: str, checkpoint: str,
     """
     def write_batch(batch: DataFrame, number: int) -> None:
         name = f"{_run_name(checkpoint)}-{number}"
-        with _observed(_events(batch), pick=dedupe_latest) as (parsed, counts):
+        with _observed(_events(batch), pick=None if quarantine else dedupe_latest) as (parsed, counts):
             events = _quarantine(parsed, counts["quarantined"], quarantine, name)
-            merge_and_refresh(batch.sparkSession, silver, view, events, name, unique=True)
+            merge_and_refresh(batch.sparkSession, silver, view, events, name, unique=not quarantine)
 
     return _start(messages, write_batch, checkpoint)
 
