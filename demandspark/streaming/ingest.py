@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..operators.dedupe import dedupe_first, dedupe_latest, keep_first
+from ..operators.dedupe import dedupe_first, dedupe_latest
 from ..operators.indexing import with_row_index
 from ..operators.upsert import MONTH, months_in
 from ..schemas import CORRUPT, EVENT_KEY, EVENTS
@@ -154,10 +154,6 @@ class _Sink:
             behind = behind.join(known, identity, "left_anti")
         append_batch(behind, self.late, name)
 
-    def by_key(self, mark: date | None) -> bool:
-        """Whether batches are stored by key: neither late events nor bad messages have to be kept."""
-        return mark is None and self.quarantine is None
-
     def store(self, parsed: DataFrame, counts: dict, mark: date | None, number: int, part: int, put_off: int) -> None:
         """Insert-ignore of one batch (``part`` 0) or of a part of what an earlier batch put off, and its row in the log."""
         spark, name = parsed.sparkSession, f"{self.run}-{number}" + (f"-{part}" if part else "")
@@ -166,7 +162,7 @@ class _Sink:
             self.set_late_apart(good, mark, name)
             good = good.filter(F.col("event_date") >= F.lit(mark))
         events = good.withColumn(MONTH, F.trunc("event_date", "MM"))
-        new = dedupe_first(events, _stored_keys(spark, self.table, events, name), unique=self.by_key(mark))
+        new = dedupe_first(events, _stored_keys(spark, self.table, events, name))
         append_batch(new, self.table, name, [MONTH])
         if self.log:
             written = spark.read.schema(EVENTS).parquet(f"{self.table}/_batch_id={name}").count()  # from the footers of its files
@@ -181,17 +177,15 @@ class _Sink:
             admission.closed = True
             raise _CapReached
         mark = self.watermark(messages.sparkSession, number)
-        if admission.remaining is None:
-            with _observed(_events(messages), mark, keep_first if self.by_key(mark) else None) as (parsed, counts):
-                self.store(parsed, counts, mark, number, 0, 0)
-            return
-        with _observed(_events(messages)) as (parsed, counts):  # row by row: a cut may run between messages of one key
-            mine = (F.col("run") == self.run) & (F.col("number") == number) & (F.col("part") == 0)
-            before = read_log(messages.sparkSession, self.log).filter(mine).first()
-            taken = admission.take(counts["consumed"]) if before is None else before.consumed  # delivered again: the same cut
+        with _observed(_events(messages), mark) as (parsed, counts):
+            taken = counts["consumed"]
+            if admission.remaining is not None:
+                mine = (F.col("run") == self.run) & (F.col("number") == number) & (F.col("part") == 0)
+                before = read_log(messages.sparkSession, self.log).filter(mine).first()
+                taken = admission.take(taken) if before is None else before.consumed  # delivered again: the same cut
             put_off = counts["consumed"] - taken
             if not put_off:
-                self.take_part(parsed, number, 0, 0)
+                self.store(parsed, counts, mark, number, 0, 0)
                 return
             placed = with_row_index(parsed, list(_ORDER), "place")
             append_batch(placed.filter(F.col("place") > taken), self.backlog, f"{self.run}-{number}")
@@ -199,7 +193,7 @@ class _Sink:
 
     def take_part(self, rows: DataFrame, number: int, part: int, put_off: int) -> None:
         mark = self.watermark(rows.sparkSession, number)
-        with _observed(rows.select(*EVENTS.names, "is_bad", CORRUPT), mark, keep_first if self.by_key(mark) else None) as (parsed, counts):
+        with _observed(rows.select(*EVENTS.names, "is_bad", CORRUPT), mark) as (parsed, counts):
             self.store(parsed, counts, mark, number, part, put_off)
 
     def drain(self, spark: SparkSession, admission: _Admission) -> None:
